@@ -93,11 +93,10 @@ def fit_boosted(
     def one(k: int) -> Model:
         booster = GBTClassifier(
             labelCol="is_class", featuresCol="features", predictionCol=f"class_{k}",
-            rawPredictionCol=f"margin_{k}", probabilityCol=f"probability_{k}",
             maxIter=rounds, maxDepth=max_depth, stepSize=learning_rate, subsamplingRate=subsample,
             featureSubsetStrategy=str(colsample_bytree) if colsample_bytree < 1 else "all",
             minInfoGain=gamma, seed=seed,
-        )
+        ).setRawPredictionCol(f"margin_{k}").setProbabilityCol(f"probability_{k}")
         return booster.fit(
             train.select("features", (F.col("label") == k).cast("double").alias("is_class"))
         )
