@@ -16,17 +16,15 @@ def strip_markup(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]*>", "")
 
 
-def has_unclosed_tag(stripped: Column) -> Column:
-    """True where stripped text still holds a ``<``: its tag never ended."""
-    return F.contains(stripped, F.lit("<"))
+def has_unclosed_tag(text: Column) -> Column:
+    """True where a ``<`` never meets its ``>``: one follows the last ``>`` of the text."""
+    return F.contains(F.substring_index(text, ">", -1), F.lit("<"))
 
 
 def with_clean_text(df: DataFrame, text_col: str, output_col: str | None = None) -> DataFrame:
     """Strip markup and leave out rows with an unclosed tag (or null text)."""
-    output_col = output_col or text_col
-    return df.withColumn(output_col, strip_markup(F.col(text_col))).where(
-        ~has_unclosed_tag(F.col(output_col))
-    )
+    text = F.col(text_col)
+    return df.where(~has_unclosed_tag(text)).withColumn(output_col or text_col, strip_markup(text))
 
 
 def lower_text(text: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pressroom.session import numbered
+
 
 def frequency_indexer(input_col: str = "category", output_col: str = "label") -> StringIndexer:
     """Most frequent category = 0; ties in alphabetical order."""
@@ -39,7 +41,7 @@ def label_map(df: DataFrame) -> DataFrame:
 
 def indexer_label_map(spark: SparkSession, indexer: StringIndexerModel) -> DataFrame:
     """``(label, category)`` of a fitted indexer."""
-    return spark.createDataFrame(list(enumerate(indexer.labels)), "label int, category string")
+    return numbered(spark, list(indexer.labels), "label", "category")
 
 
 def lookup_category(df: DataFrame, labels: DataFrame, label_col: str = "prediction") -> DataFrame:

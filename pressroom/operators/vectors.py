@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressroom.functions.tokens import term_counts
-from pressroom.session import write_and_read
+from pressroom.session import numbered, write_and_read
 
 # The most terms a model may hold: vectors, coefficients and vocabulary live on every executor.
 MAX_MODEL_TERMS = 1 << 22
@@ -21,17 +21,17 @@ MAX_MODEL_TERMS = 1 << 22
 HOT_TERMS = 10_000
 
 
-def vocabulary(df: DataFrame, tokens_col: str, size: int | None) -> DataFrame:
+def vocabulary(df: DataFrame, tokens_col: str, size: int) -> DataFrame:
     """``(term, n)``: the ``size`` most frequent terms by total count, ties in term order.
 
     Counts combine before the shuffle, and the cut is a distributed top-k.
     """
+    # An inner explode of a column infers a filter that would run the tokenizer a second time.
     counted = (
-        df.select(F.explode(tokens_col).alias("term"))
+        df.select(F.explode_outer(tokens_col).alias("term")).where("term IS NOT NULL")
         .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     )
-    ordered = counted.orderBy(F.desc("n"), "term")
-    return ordered if size is None else ordered.limit(size)
+    return counted.orderBy(F.desc("n"), "term").limit(size)
 
 
 class VocabularyVectorizer(
@@ -40,8 +40,9 @@ class VocabularyVectorizer(
     """Count vectors over the most frequent terms, with a repeatable vocabulary.
 
     The built-in estimator leaves ties at the cut unordered; this one orders them by term, so two
-    fits on the same data agree. ``vocabSize=0`` keeps every term, and refuses data with more than
-    a model can hold rather than dropping any. Fits to the built-in ``CountVectorizerModel``.
+    fits on the same data agree. ``vocabSize=0`` keeps every term, where there is no cut and the
+    built-in one serves; data with more terms than a model can hold is refused, not trimmed.
+    Fits to the built-in ``CountVectorizerModel``.
     """
 
     vocabSize = Param(Params._dummy(), "vocabSize", "terms to keep, 0 for all",
@@ -56,16 +57,16 @@ class VocabularyVectorizer(
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
-        size = self.getOrDefault(self.vocabSize)
-        # One more than fits tells "all of it" from "too much" without reading the rest.
-        rows = vocabulary(dataset, self.getInputCol(), size or MAX_MODEL_TERMS + 1).collect()
-        if len(rows) > MAX_MODEL_TERMS:
-            raise ValueError(f"more than {MAX_MODEL_TERMS} terms: set vocabSize or use tfidf_table")
-        model = CountVectorizerModel.from_vocabulary(
-            [r["term"] for r in rows],
-            inputCol=self.getInputCol(), outputCol=self.getOutputCol(), minTF=1.0,
-        )
-        return model.setBinary(self.getOrDefault(self.binary))
+        columns = {"inputCol": self.getInputCol(), "outputCol": self.getOutputCol()}
+        size, binary = self.getOrDefault(self.vocabSize), self.getOrDefault(self.binary)
+        if size == 0:
+            # Room for one more than fits tells "all of it" from "too much".
+            model = CountVectorizer(vocabSize=MAX_MODEL_TERMS + 1, binary=binary, **columns).fit(dataset)
+            if len(model.vocabulary) > MAX_MODEL_TERMS:
+                raise ValueError(f"over {MAX_MODEL_TERMS} terms: set vocabSize or use tfidf_table")
+            return model
+        terms = [r["term"] for r in vocabulary(dataset, self.getInputCol(), size).collect()]
+        return CountVectorizerModel.from_vocabulary(terms, binary=binary, **columns)
 
 
 class SmoothIdfScaler(
@@ -100,8 +101,7 @@ def vector_entries(df: DataFrame, vector_col: str, *keep: str) -> DataFrame:
 def vector_terms(df: DataFrame, vector_col: str, terms: list[str], *keep: str) -> DataFrame:
     """``(…keep, term, value)``: vector entries named by the model's vocabulary."""
     entries = vector_entries(df, vector_col, *keep)
-    spark = df.sparkSession
-    names = spark.createDataFrame(list(enumerate(terms)), "index int, term string")
+    names = numbered(df.sparkSession, terms, "index", "term")
     return entries.join(names, "index").select(*keep, "term", "value")
 
 
@@ -115,8 +115,7 @@ def tfidf_table(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     terms out of the join on ``term``, whose remaining keys are all small. Hot rows pass the
     join under a key of their own document, so they spread evenly.
     """
-    counted = df.select(id_col, term_counts(F.col(tokens_col)).alias("terms"))
-    postings = counted.select(id_col, F.inline("terms"))
+    postings = df.select(id_col, F.inline(term_counts(F.col(tokens_col))))
     frequencies = write_and_read(
         postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-frequencies"
     )

@@ -13,6 +13,7 @@ from pressroom.operators.labels import category_namer
 from pressroom.operators.split import MAIN_SPLIT, hash_split, random_split
 from pressroom.plans.features import count_pipeline, label_pipeline
 from pressroom.plans.models import MAIN_PARAMS, fit_classifier
+from pressroom.session import numbered
 
 
 @dataclass
@@ -113,9 +114,7 @@ def save(trained: Trained, path: str) -> None:
     """Write the model and its label map; an existing model at the path is replaced."""
     spark = trained.counts.sparkSession
     trained.model.write().overwrite().save(f"{path}/model")
-    labels = spark.createDataFrame(
-        list(enumerate(trained.labels)), "label int, category string"
-    )
+    labels = numbered(spark, trained.labels, "label", "category")
     labels.coalesce(1).write.mode("overwrite").parquet(f"{path}/labels")
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,6 +46,15 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(spark: SparkSession, values: list[str], index: str, value: str) -> DataFrame:
+    """``(index, value)`` of a driver-side list, as a local relation.
+
+    Its size is known to the optimizer, which broadcasts it below its threshold and else shuffles.
+    """
+    ids = pa.array(range(len(values)), pa.int32())
+    return spark.createDataFrame(pa.table({index: ids, value: pa.array(values, pa.string())}))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Raise the parallelism of a scan that has fewer splits than the cluster has cores.
 

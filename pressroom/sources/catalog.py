@@ -85,4 +85,6 @@ def parse_catalog(df: DataFrame, json_col: str, *keep: str) -> DataFrame:
 def flatten_catalog(df: DataFrame) -> DataFrame:
     """One row per (category, url), with the URL's place in its list."""
     rest = [c for c in df.columns if c != "urls"]
-    return df.select(*rest, F.posexplode("urls").alias("position", "url"))
+    # The outer form infers no filter that would parse the list a second time.
+    urls = df.select(*rest, F.posexplode_outer("urls").alias("position", "url"))
+    return urls.where("position IS NOT NULL")

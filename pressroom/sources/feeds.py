@@ -21,6 +21,9 @@ _FEED = T.StructType(
     [T.StructField("channel", T.StructType([T.StructField("item", T.ArrayType(_ITEM))]))]
 )
 
+# Blanks around a title or description are part of the text.
+_XML = {"ignoreSurroundingSpaces": "false"}
+
 
 def _first(tag: str) -> Column:
     return F.when(F.size(tag) > 0, F.coalesce(F.get(F.col(tag), F.lit(0)), F.lit("")))
@@ -36,15 +39,14 @@ def _articles(items: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
 def feed_articles(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
     """Articles of whole feed documents held in a column; a malformed document yields none."""
-    items = df.select(*keep, F.from_xml(F.col(body_col), _FEED).alias("feed")).select(
-        *keep, F.inline("feed.channel.item")
-    )
+    feed = F.from_xml(F.col(body_col), _FEED, _XML)
+    items = df.select(*keep, F.inline(feed["channel"]["item"]))
     return _articles(items, keep)
 
 
 def read_feed_files(spark: SparkSession, paths: str | list[str], category: str) -> DataFrame:
     """Articles of landed feed files, all of one category."""
-    items = spark.read.format("xml").option("rowTag", "item").schema(_ITEM).load(paths)
+    items = spark.read.format("xml").options(rowTag="item", **_XML).schema(_ITEM).load(paths)
     return _articles(items, ()).withColumn("category", F.lit(category))
 
 

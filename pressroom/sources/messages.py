@@ -44,8 +44,7 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     value = F.col(value_col).cast("string")
     return (
         df.where(F.ltrim(value).startswith("["))
-        .select(F.from_json(value, MESSAGE).alias("articles"))
-        .select(F.inline("articles"))
+        .select(F.inline(F.from_json(value, MESSAGE)))
     )
 
 

@@ -47,13 +47,14 @@ def read_request_config(spark: SparkSession, path: str) -> DataFrame:
 def request_plan(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
     """Every request to send: the allowance of a key is shared out evenly over its APIs.
 
-    APIs count from 1 and hits from 0; a share below one gives no request.
+    APIs count from 1 and hits from 0; a share below one, or a key without
+    APIs, gives no request.
     """
     parsed = F.from_json(F.col(body_col), REQUEST_CONFIG)["RapidAPI"]
     per_key = df.select(*keep, F.explode(parsed).alias("config_key", "config")).select(
         *keep,
         "config_key",
-        F.expr("config.MaxAPIS div size(config.api)").alias("hits"),
+        F.expr("config.MaxAPIS div nullif(size(config.api), 0)").alias("hits"),
         F.col("config.api").alias("apis"),
     )
     # A descending sequence would come out of hits = 0, so those keys go first.

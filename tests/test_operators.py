@@ -42,7 +42,7 @@ def test_count_vectors(spark):
 
 def test_vocabulary_that_no_model_can_hold_is_refused(spark, monkeypatch):
     monkeypatch.setattr(vectors, "MAX_MODEL_TERMS", 3)
-    with pytest.raises(ValueError, match="more than 3 terms"):
+    with pytest.raises(ValueError, match="over 3 terms"):
         vectors.VocabularyVectorizer(inputCol="words", outputCol="f", vocabSize=0).fit(documents(spark))
 
 

@@ -200,3 +200,20 @@ def test_metric_file(spark, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         messages.stream_topic(spark, "nowhere:9092")
+
+
+def test_request_plan_without_apis_is_empty(spark):
+    df = spark.createDataFrame([('{"RapidAPI": {"k": {"api": [], "MaxAPIS": 3}}}',)], "body string")
+    assert requests.request_plan(df, "body").count() == 0
+
+
+def test_nothing_is_parsed_twice(spark):
+    df = spark.createDataFrame([("[]",)], "value string")
+    for frame, parser in [
+        (messages.decode_messages(df), "from_json"),
+        (search.search_articles(df, "value"), "from_json"),
+        (search.search_groups(df, "value"), "from_json"),
+        (feeds.feed_articles(df, "value"), "from_xml"),
+    ]:
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert sum(parser in line for line in plan.splitlines()) == 1, plan
