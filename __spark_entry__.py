@@ -7,6 +7,7 @@ category) or ``conversations`` (``role`` as its category); ``labels.quality`` is
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,7 +175,8 @@ def request_plan(spark, sf_dir):
     )
     config = F.struct(api.alias("api"), F.floor(F.col("value") / 10).cast("int").alias("MaxAPIS"))
     body = F.to_json(F.struct(F.create_map("event_type", config).alias("RapidAPI")))
-    events = _table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    events = spread(_table(spark, sf_dir, "events").select("event_id", "event_type", "value"), "event_id")
+    events = events.select("event_id", body.alias("body"))
     return requests.request_plan(events, "body", "event_id").select(
         "event_id", "config_key", F.col("api_index").cast("long").alias("api_index"),
         "hit", "url", "output_name",
@@ -363,8 +365,8 @@ def split_hash(spark, sf_dir):
 
 def split_random(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang")
-    parts = split.random_split(docs, *split.TUNED_SPLIT)
-    return union_sources(*(p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)))
+    # Which row goes where is up to the partitioning; together the parts must be the table.
+    return union_sources(*split.random_split(docs, *split.TUNED_SPLIT))
 
 
 def batches(spark, sf_dir):
@@ -448,7 +450,8 @@ def _prepared_quality(spark, sf_dir):
     )
 
 
-def grid_best(spark, sf_dir):
+def grid_search(spark, sf_dir):
+    """The whole naive Bayes grid."""
     prepared = _prepared_quality(spark, sf_dir)
     try:
         return tune.search(prepared, "nb", parallelism=4, stop_above=1.0).trials
@@ -456,6 +459,21 @@ def grid_best(spark, sf_dir):
         training.release(prepared)
 
 
+# The points of the naive Bayes grid that plain SQL can score: no zero smoothing, no complement.
+_NB_POINTS = [p for p in tune.grid_points(tune.NB_RANGES)
+              if p["smoothing"] > 0 and p["modelType"] != "complement"]
+
+
+def grid_best(spark, sf_dir):
+    """Every trial of a search with the winner marked."""
+    prepared = _prepared_quality(spark, sf_dir)
+    try:
+        found = tune.search(prepared, "nb", _NB_POINTS, parallelism=3, stop_above=1.0)
+    finally:
+        training.release(prepared)
+    return _rounded(found.trials, "accuracy", "precision", "recall", "f1")
+
+
 def cross_validate(spark, sf_dir):
     prepared = _prepared_quality(spark, sf_dir)
     try:
@@ -574,6 +592,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "boosted_predict": boosted_predict,
         "param_grid": param_grid,
         "grid_best": grid_best,
+        "grid_search": grid_search,
         "cross_validate": cross_validate,
         "metrics": metrics,
         "metric_file": metric_file,
@@ -624,43 +643,73 @@ _QUALITY_DOCS = """SELECT d.doc_id, d.text, 'q' || l.quality AS category
                    FROM documents d JOIN labels l USING (doc_id)"""
 
 
-def _nb_sql(docs: str, select: str) -> str:
-    """Multinomial naive Bayes trained on the hash-split 70 %, scored on every document."""
+def _nb_sql(
+    docs: str,
+    select: str,
+    stop_words: list[str] = FEED_STOP_WORDS,
+    train_below: int = 7000,
+    smoothing: float = 1.0,
+    bernoulli: bool = False,
+) -> str:
+    """Naive Bayes trained on the hash-split part, scored on every document.
+
+    A Bernoulli model counts a term once per document and also scores the absent terms: the sum
+    of their logs is a constant per class, corrected by the terms that are there.
+    """
+    s = f"{smoothing!r}::DOUBLE"
+    if bernoulli:
+        amount = "1"
+        totals = f"SELECT category, ln(count(*) + 2 * {s}) AS lt FROM train GROUP BY category"
+        theta = f"""
+      SELECT category, term, th - ln(1 - exp(th)) AS th, ln(1 - exp(th)) AS absent FROM (
+        SELECT tot.category, v.term, ln(coalesce(cnt.n, 0) + {s}) - tot.lt AS th
+        FROM vocab v CROSS JOIN tot
+        LEFT JOIN cnt ON cnt.category = tot.category AND cnt.term = v.term
+      )"""
+    else:
+        amount = "count(*)"
+        totals = f"""SELECT category, ln(sum(n) + {s} * (SELECT count(*) FROM vocab)) AS lt
+                     FROM cnt GROUP BY category"""
+        theta = f"""
+      SELECT tot.category, v.term, ln(coalesce(cnt.n, 0) + {s}) - tot.lt AS th, 0.0 AS absent
+      FROM vocab v CROSS JOIN tot
+      LEFT JOIN cnt ON cnt.category = tot.category AND cnt.term = v.term"""
     return f"""
     WITH docs AS ({docs}),
-    t AS (SELECT doc_id, unnest({_kept(_GAP, FEED_STOP_WORDS)}) AS term FROM docs),
+    t AS (SELECT doc_id, unnest({_kept(_GAP, stop_words)}) AS term FROM docs),
     all_tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY doc_id, term),
     vocab AS (SELECT term FROM all_tf GROUP BY term ORDER BY sum(n) DESC, term LIMIT 10000),
-    tf AS (SELECT a.* FROM all_tf a JOIN vocab USING (term)),
-    train AS (SELECT doc_id, category FROM docs WHERE {_DRAW} < 7000),
+    tf AS (
+      SELECT doc_id, term, {amount if bernoulli else 'n'} AS n FROM all_tf JOIN vocab USING (term)
+    ),
+    train AS (SELECT doc_id, category FROM docs WHERE {_DRAW} < {train_below}),
     prior AS (
       SELECT category,
-             ln(count(*) + 1.0) - ln((SELECT count(*) + count(DISTINCT category) FROM train)) AS lp
+             ln(count(*) + {s})
+             - ln((SELECT count(*) + {s} * count(DISTINCT category) FROM train)) AS lp
       FROM train GROUP BY category
     ),
     cnt AS (SELECT category, term, sum(n) AS n FROM tf JOIN train USING (doc_id) GROUP BY category, term),
-    tot AS (SELECT category, ln(sum(n) + (SELECT count(*) FROM vocab)) AS lt FROM cnt GROUP BY category),
-    theta AS (
-      SELECT tot.category, v.term, ln(coalesce(cnt.n, 0) + 1.0) - tot.lt AS th
-      FROM vocab v CROSS JOIN tot
-      LEFT JOIN cnt ON cnt.category = tot.category AND cnt.term = v.term
-    ),
+    tot AS ({totals}),
+    theta AS ({theta}),
+    base AS (SELECT category, sum(absent) AS absent FROM theta GROUP BY category),
     part AS (
       SELECT tf.doc_id, theta.category, sum(tf.n * theta.th) AS s
       FROM tf JOIN theta USING (term) GROUP BY tf.doc_id, theta.category
     ),
     nb AS (
       SELECT d.doc_id, any_value(d.category) AS category,
-             arg_max(p.category, p.lp + coalesce(part.s, 0)) AS predicted
-      FROM docs d CROSS JOIN prior p
+             arg_max(p.category, p.lp + base.absent + coalesce(part.s, 0)) AS predicted
+      FROM docs d CROSS JOIN prior p JOIN base ON base.category = p.category
       LEFT JOIN part ON part.doc_id = d.doc_id AND part.category = p.category
       GROUP BY d.doc_id
     )
     {select}"""
 
 
-_HELD_OUT = f"""
-    , held AS (SELECT category, predicted FROM nb WHERE {_DRAW} >= 7000),
+def _held_out_sql(train_below: int = 7000) -> str:
+    return f"""
+    , held AS (SELECT category, predicted FROM nb WHERE {_DRAW} >= {train_below}),
     classes AS (SELECT category AS class FROM held UNION SELECT predicted FROM held),
     scores AS (
       SELECT class,
@@ -685,6 +734,9 @@ _HELD_OUT = f"""
     )"""
 
 
+_HELD_OUT = _held_out_sql()
+
+
 def _unpivoted() -> str:
     return " UNION ALL ".join(
         f"SELECT 'nb' AS model, '{m}' AS metric, round({m}, 6) AS value FROM weighted"
@@ -739,6 +791,25 @@ def _first_seen_sql(column: str) -> str:
                count(*) AS count FROM documents GROUP BY {column}"""
 
 
+def _search_sql() -> str:
+    """Scores of every point in ``_NB_POINTS``, and which is best."""
+    scores = "accuracy", "precision", "recall", "f1"
+    trials = " UNION ALL ".join(
+        "SELECT * FROM (" + _nb_sql(
+            _QUALITY_DOCS,
+            _held_out_sql(7778) + f"""
+            SELECT {i} AS trial, '{json.dumps(p)}' AS params,
+                   {', '.join(f'round({m}, 6) AS {m}' for m in scores)} FROM weighted""",
+            FULL_STOP_WORDS, 7778, p["smoothing"], p["modelType"] == "bernoulli",
+        ) + ")"
+        for i, p in enumerate(_NB_POINTS)
+    )
+    return f"""
+    SELECT trial, params, accuracy, precision, recall, f1, CAST(NULL AS VARCHAR) AS error,
+           row_number() OVER (ORDER BY f1 DESC, trial) = 1 AS best
+    FROM ({trials})"""
+
+
 def _grid_sql() -> str:
     source = """SELECT 'lang' AS target, count(DISTINCT lang) AS n_classes FROM documents
                 UNION ALL SELECT 'quality', count(DISTINCT quality) FROM labels
@@ -873,6 +944,7 @@ def oracle_sql() -> dict[str, str]:
         "category_profile": _first_seen_sql("lang"),
         "category_distinct": f'SELECT category, "categoryId" FROM ({_first_seen_sql("lang")})',
         "split_hash": hash_part,
+        "split_random": "SELECT doc_id, lang FROM documents",
         "batches": """
             SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 10000 AS batch FROM orders""",
         "batch_bounds": """
@@ -882,6 +954,7 @@ def oracle_sql() -> dict[str, str]:
         "nb_predict": nb_predict_sql,
         "stream_predict": nb_predict_sql,
         "param_grid": _grid_sql(),
+        "grid_best": _search_sql(),
         "metrics": _nb_sql(_QUALITY_DOCS, f"{_HELD_OUT} {_unpivoted()}"),
         "metric_file": _nb_sql(
             _QUALITY_DOCS,

@@ -44,8 +44,8 @@ def with_match_keys(articles: DataFrame) -> DataFrame:
     return rows.withColumn("match_keys", keys).withColumn("asks", F.get("match_keys", F.lit(0)))
 
 
-def unseen(rows: DataFrame, store: DataFrame) -> DataFrame:
-    """The rows of ``with_match_keys`` that no stored article answers to, ready to append.
+def known_keys(rows: DataFrame, store: DataFrame) -> DataFrame:
+    """The keys asked by ``with_match_keys`` rows that some article already answers to.
 
     Within a batch, articles with both shapes count as stored before the narrower ones.
     The store is filtered to the asked keys first: a small batch is broadcast to it by its size,
@@ -56,7 +56,11 @@ def unseen(rows: DataFrame, store: DataFrame) -> DataFrame:
     wider = rows.where(F.size("match_keys") > 1).select(
         F.explode(F.slice("match_keys", 2, 2)).alias("asks")
     )
-    known = stored_keys.join(asked, "asks", "left_semi").unionByName(wider).distinct()
+    return stored_keys.join(asked, "asks", "left_semi").unionByName(wider).distinct()
+
+
+def unseen(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows whose key is not known, ready to append."""
     return rows.join(known, "asks", "left_anti").select(*STORED_ARTICLE.fieldNames())
 
 
@@ -67,10 +71,15 @@ def append_unseen(articles: DataFrame, store_path: str) -> None:
     per store: two concurrent batches could both find an article absent. Errors are raised.
     """
     store = open_store(articles.sparkSession, store_path)
-    # Used for the asked keys and again for the rows; cached sizes also inform the join choice.
+    # Both are used twice, and once computed their sizes are known: the optimizer broadcasts the
+    # asked keys to the store scan and the known keys to the rows if they are small, and shuffles
+    # otherwise.
     rows = with_match_keys(articles).persist()
+    known = known_keys(rows, store).persist()
     try:
         rows.count()
-        unseen(rows, store).write.mode("append").parquet(store_path)
+        known.count()
+        unseen(rows, known).write.mode("append").parquet(store_path)
     finally:
+        known.unpersist()
         rows.unpersist()

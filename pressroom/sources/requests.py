@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom.schemas import REQUEST_CONFIG
@@ -19,8 +19,17 @@ REQUEST_LIMIT = {"SPORTS": 50}
 MAX_REQUESTS = 50
 
 # Where an archive month is fetched from and landed.
-ARCHIVE_URL = "https://api.nytimes.com/svc/archive/v1/%s/%s.json?api-key=%s"
-ARCHIVE_FILE = "./Data/NYTimeData/%s-%s.json"
+ARCHIVE_URL = "https://api.nytimes.com/svc/archive/v1/{}/{}.json?api-key={}"
+ARCHIVE_FILE = "./Data/NYTimeData/{}-{}.json"
+
+
+def _fill(template: str, *values: Column) -> Column:
+    """The template with its ``{}`` replaced. Plain concatenation stays in generated code."""
+    first, *rest = template.split("{}")
+    parts = [F.lit(first)]
+    for value, text in zip(values, rest):
+        parts += [value.cast("string"), F.lit(text)]
+    return F.concat(*parts)
 
 
 def request_config(api_key: str = "") -> str:
@@ -69,9 +78,7 @@ def request_plan(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
         F.col("api.requestType").alias("request_type"),
         F.col("api.url").alias("url"),
         F.col("api.queryString.topic").alias("topic"),
-    ).withColumn(
-        "output_name", F.format_string("%d-%d.json", F.col("api_index"), F.col("hit"))
-    )
+    ).withColumn("output_name", _fill("{}-{}.json", F.col("api_index"), F.col("hit")))
 
 
 def with_archive_keys(df: DataFrame, path_col: str, api_key: str = "") -> DataFrame:
@@ -88,8 +95,8 @@ def with_archive_keys(df: DataFrame, path_col: str, api_key: str = "") -> DataFr
         ok.alias("archive_ok"),
         F.when(ok, year).alias("year"),
         F.when(ok, month).alias("month"),
-        F.when(ok, F.format_string(ARCHIVE_URL, year, month, F.lit(api_key))).alias("request_url"),
-        F.when(ok, F.format_string(ARCHIVE_FILE, year, month)).alias("output_name"),
+        F.when(ok, _fill(ARCHIVE_URL, year, month, F.lit(api_key))).alias("request_url"),
+        F.when(ok, _fill(ARCHIVE_FILE, year, month)).alias("output_name"),
     )
 
 
