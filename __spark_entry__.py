@@ -66,7 +66,7 @@ def _search_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as search articles; two fields are null."""
     link = F.format_string("talk/%d/%d", "conv_id", "turn")
     return _turns(spark, sf_dir).select(
-        "conv_id", "turn", F.col("role").alias("title"),
+        F.col("role").alias("title"),
         F.lit(None).cast("string").alias("published_date"), link.alias("link"),
         F.lit("talk").alias("clean_url"), F.col("text").alias("summary"),
         F.lit(None).cast("string").alias("media"), F.col("role").alias("topic"),
@@ -76,11 +76,14 @@ def _search_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources --------------------------------------------------------------------------------
 
 
+def _links():
+    return F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+
+
 def feed_catalog(spark, sf_dir):
-    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     pages = _table(spark, sf_dir, "pages").select(
         "page_id", F.regexp_extract("html", '<html lang="([^"]*)"', 1).alias("lang"),
-        links.alias("links"),
+        _links().alias("links"),
     )
     one = F.to_json(F.create_map("lang", F.get("links", F.lit(0))))
     many = F.to_json(F.create_map("lang", "links"))
@@ -108,42 +111,35 @@ def feed_items(spark, sf_dir):
 
 
 def _responses(spark, sf_dir):
-    """Search responses of four documents each; short documents lack the topic attribute."""
-    docs = _table(spark, sf_dir, "documents")
-    values = {
-        "title": F.concat(F.col("lang"), F.lit(":"), F.col("source")),
-        "published_date": F.lit(None).cast("string"),
-        "link": F.concat(F.lit("doc/"), F.col("doc_id").cast("string")),
-        "clean_url": F.col("source"), "summary": F.col("text"),
-        "media": F.lit(None).cast("string"), "topic": F.col("lang"),
-    }
+    """One search response per page, a record per link; a link with a comma lacks the topic."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", _links().alias("links"))
+
+    def record(link):
+        values = {
+            "title": F.concat(F.col("url"), link), "published_date": F.lit(None).cast("string"),
+            "link": link, "clean_url": F.col("url"), "summary": F.concat(F.lit("to "), link),
+            "media": F.lit(None).cast("string"), "topic": F.lit("link"),
+        }
 
-    def record(names):
-        return F.create_map(*(x for n in names for x in (F.lit(n), values[n])))
+        def with_keys(names):
+            return F.create_map(*(x for n in names for x in (F.lit(n), values[n])))
 
-    full, lacking = record(SEARCH_FIELDS), record(f for f in SEARCH_FIELDS if f != "topic")
-    one = F.when(F.col("n_chars") >= 300, full).otherwise(lacking)
-    entry = F.struct("doc_id", F.to_json(one, {"ignoreNullFields": "false"}).alias("json"))
-    return (
-        docs.groupBy(F.expr("doc_id div 4").alias("query"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select(
-            "query",
-            F.concat(
-                F.lit('{"articles":['), F.array_join("entries.json", ","), F.lit("]}")
-            ).alias("body"),
-        )
-    )
+        return F.when(
+            F.contains(link, F.lit(",")), with_keys(f for f in SEARCH_FIELDS if f != "topic")
+        ).otherwise(with_keys(SEARCH_FIELDS))
+
+    body = F.struct(F.size("links").alias("page_size"), F.transform("links", record).alias("articles"))
+    return pages.select("page_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("body"))
 
 
 def search_projection(spark, sf_dir):
-    return search.search_articles(_responses(spark, sf_dir), "body", "query")
+    return search.search_articles(_responses(spark, sf_dir), "body", "page_id")
 
 
 def search_groups(spark, sf_dir):
-    return search.search_groups(_responses(spark, sf_dir), "body", "query").select(
-        "query", F.size("articles").cast("long").alias("n_articles"),
-        F.array_join("articles.link", ",").alias("links"),
+    return search.search_groups(_responses(spark, sf_dir), "body", "page_id").select(
+        "page_id", F.size("articles").cast("long").alias("n_articles"),
+        F.array_join("articles.link", " ").alias("links"),
     )
 
 
@@ -193,11 +189,8 @@ def archive_keys(spark, sf_dir):
 
 
 def message_roundtrip(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "text", F.col("lang").alias("category")
-    )
-    encoded = messages.encode_messages(docs, "doc_id", by=("source",))
-    return messages.decode_messages(encoded).select("text", "category")
+    docs = _documents(spark, sf_dir).select("text", "category")
+    return messages.decode_messages(messages.encode_messages(docs)).select("text", "category")
 
 
 def store_scan(spark, sf_dir):
@@ -239,12 +232,9 @@ def insert_if_absent(spark, sf_dir):
 
 def stream_ingest(spark, sf_dir):
     landed, path = scratch_path(spark, "landed"), scratch_path(spark, "store")
-    docs = messages.encode_messages(_documents(spark, sf_dir), "doc_id")
-    turns = messages.encode_messages(
-        _search_turns(spark, sf_dir), "turn", by=("conv_id",), keep_nulls=True
-    )
-    messages.write_message_files(docs, landed)
-    messages.write_message_files(turns, landed)
+    docs = messages.encode_messages(_documents(spark, sf_dir))
+    turns = messages.encode_messages(_search_turns(spark, sf_dir), keep_nulls=True)
+    messages.write_message_files(union_sources(docs, turns), landed)
     stream = messages.stream_message_files(spark, landed)
     for _ in range(2):  # the second run replays everything from a fresh checkpoint
         start_ingest(stream, path, scratch_path(spark, "checkpoint")).awaitTermination()
@@ -840,8 +830,8 @@ def oracle_sql() -> dict[str, str]:
            CASE WHEN {_DRAW} < 8000 THEN 0 ELSE 1 END AS boosted_part
     FROM documents"""
     complete = """
-    WITH ok AS (SELECT doc_id // 4 AS query FROM documents GROUP BY 1 HAVING bool_and(n_chars >= 300)),
-    a AS (SELECT d.*, ok.query FROM documents d JOIN ok ON d.doc_id // 4 = ok.query)"""
+    WITH p AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages),
+    ok AS (SELECT * FROM p WHERE len(links) > 0 AND NOT contains(array_to_string(links, ' '), ','))"""
     nb_predict_sql = _nb_sql(_LANG_DOCS, "SELECT doc_id, predicted FROM nb")
     return {
         "feed_catalog": """
@@ -861,12 +851,12 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT * FROM p WHERE NOT contains(text, '<')""",
         "search_projection": complete + """
-            SELECT query, lang || ':' || source AS title, CAST(NULL AS VARCHAR) AS published_date,
-                   'doc/' || doc_id AS link, source AS clean_url, text AS summary,
-                   CAST(NULL AS VARCHAR) AS media, lang AS topic FROM a""",
+            , a AS (SELECT page_id, url, unnest(links) AS link FROM ok)
+            SELECT page_id, url || link AS title, CAST(NULL AS VARCHAR) AS published_date, link,
+                   url AS clean_url, 'to ' || link AS summary, CAST(NULL AS VARCHAR) AS media,
+                   'link' AS topic FROM a""",
         "search_groups": complete + """
-            SELECT query, count(*) AS n_articles, string_agg('doc/' || doc_id, ',' ORDER BY doc_id) AS links
-            FROM a GROUP BY query""",
+            SELECT page_id, len(links) AS n_articles, array_to_string(links, ' ') AS links FROM ok""",
         "source_union": """
             SELECT text, lang AS category FROM documents
             UNION ALL SELECT text, role FROM conversations

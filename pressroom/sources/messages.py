@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,29 +15,34 @@ from pressroom.schemas import ARTICLE_FIELDS, MESSAGE
 TOPIC = "newsarticles"
 
 
-def encode_messages(
-    df: DataFrame,
-    id_col: str,
-    batch_size: int = 100,
-    by: tuple[str, ...] = (),
-    keep_nulls: bool = False,
-) -> DataFrame:
-    """``(value)`` messages of at most ``batch_size`` articles each, in id order.
+def _articles_json(df: DataFrame, keep_nulls: bool) -> DataFrame:
+    fields = [f for f in df.columns if f in ARTICLE_FIELDS]
+    options = {"ignoreNullFields": str(not keep_nulls).lower()}
+    return df.select(F.to_json(F.struct(*fields), options).alias("json"))
+
+
+def encode_messages(df: DataFrame, batch_size: int = 100, keep_nulls: bool = False) -> DataFrame:
+    """``(value)`` messages of at most ``batch_size`` articles each.
 
-    ``id_col`` is a unique integer: articles whose ids share a block of ``batch_size`` share a
-    message, so no message grows with the data however many rows one source has, and a rerun
-    makes the same messages. ``by`` columns are kept apart and returned next to the value.
+    Messages are cut from the rows of one partition, in their order: nothing is shuffled, no
+    message grows with the data however the rows are distributed, and a rerun task makes whole
+    messages of the same rows. Articles become JSON in the JVM; Arrow only joins the strings.
     """
-    fields = [f for f in df.columns if f in ARTICLE_FIELDS]
-    block = F.expr(f"`{id_col}` div {int(batch_size)}").alias("block")
-    article = F.struct(F.col(id_col).alias("id"), F.struct(*fields).alias("article"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts = list(range(0, batch.num_rows, batch_size)) + [batch.num_rows]
+            chunks = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), batch.column(0))
+            joined = pc.binary_join_element_wise("[", pc.binary_join(chunks, ","), "]", "")
+            yield pa.RecordBatch.from_arrays([joined], ["value"])
+
+    return _articles_json(df, keep_nulls).mapInArrow(cut, "value string")
+
+
+def encode_groups(groups: DataFrame, keep_nulls: bool = True) -> DataFrame:
+    """``(value)`` messages of ``search_groups`` rows: one per search that found anything."""
     options = {"ignoreNullFields": str(not keep_nulls).lower()}
-    return (
-        df.select(*by, block, article.alias("entry"))
-        .groupBy(*by, "block")
-        .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
-        .select(*by, F.to_json(F.col("entries.article"), options).alias("value"))
-    )
+    return groups.select(F.to_json("articles", options).alias("value"))
 
 
 def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:

@@ -12,14 +12,14 @@ from pressroom.schemas import SEARCH_FIELDS, strings
 
 _RECORDS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
-
 def projected_articles(body: Column, field: str = "articles") -> Column:
     """The seven attributes of every record of a response, as ``array<struct>``.
 
     All or nothing: if any record lacks an attribute the response yields null. An attribute that
     is present with a null value is kept.
     """
-    records = F.from_json(F.get_json_object(body, f"$.{field}"), _RECORDS)
+    response = T.StructType([T.StructField(field, _RECORDS)])
+    records = F.from_json(body, response)[field]
 
     def complete(record: Column) -> Column:
         return reduce(lambda a, b: a & b, (F.map_contains_key(record, f) for f in SEARCH_FIELDS))

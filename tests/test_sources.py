@@ -120,23 +120,32 @@ def test_archive_keys_and_quarantine(spark):
 
 def test_messages_round_trip(spark):
     rows = [(i, f'text "{i}"\nline', None if i % 3 else "c") for i in range(25)]
-    df = spark.createDataFrame(rows, "id long, text string, category string")
-    encoded = messages.encode_messages(df, "id", batch_size=10)
-    assert encoded.count() == 3
-    first = json.loads(encoded.orderBy("value").first()["value"])
-    assert len(first) == 10 or len(first) == 5
+    df = spark.createDataFrame(rows, "id long, text string, category string").coalesce(1)
+    encoded = messages.encode_messages(df, batch_size=10)
+    values = [json.loads(r["value"]) for r in encoded.collect()]
+    assert [len(v) for v in values] == [10, 10, 5]
+    assert values[0][1] == {"text": 'text "1"\nline'}
     back = messages.decode_messages(encoded)
     assert back.columns == list(ARTICLE_FIELDS)
     got = {(r["text"], r["category"]) for r in back.collect()}
     assert got == {(t, c) for _, t, c in rows}
+    assert "Exchange" not in encoded._jdf.queryExecution().executedPlan().toString()
 
 
-def test_messages_keep_id_order_and_explicit_nulls(spark):
-    df = spark.createDataFrame([(2, "b", None), (1, "a", "x")], "id long, text string, category string")
-    value = messages.encode_messages(df, "id", keep_nulls=True).first()["value"]
+def test_messages_with_explicit_nulls_and_of_nothing(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", None)], "text string, category string").coalesce(1)
+    value = messages.encode_messages(df, keep_nulls=True).first()["value"]
     assert json.loads(value) == [
         {"text": "a", "category": "x"}, {"text": "b", "category": None},
     ]
+    assert messages.encode_messages(df.limit(0)).count() == 0
+
+
+def test_a_search_is_a_message(spark):
+    df = spark.createDataFrame([(response(article(1), article(2, media=None)),), (response(),)], "body string")
+    sent = messages.encode_groups(search.search_groups(df, "body"))
+    assert [[a["media"] for a in json.loads(r["value"])] for r in sent.collect()] == [["media1", None]]
+    assert messages.decode_messages(sent).count() == 2
 
 
 def test_bad_messages_yield_nothing(spark):
@@ -148,8 +157,8 @@ def test_bad_messages_yield_nothing(spark):
 
 
 def test_message_files(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a\nb", "c")], "id long, text string, category string")
-    messages.write_message_files(messages.encode_messages(df, "id"), str(tmp_path / "m"))
+    df = spark.createDataFrame([("a\nb", "c")], "text string, category string")
+    messages.write_message_files(messages.encode_messages(df), str(tmp_path / "m"))
     back = messages.decode_messages(messages.read_message_files(spark, str(tmp_path / "m")))
     assert back.first()["text"] == "a\nb"
 
