@@ -75,5 +75,5 @@ def term_counts(tokens: Column) -> Column:
             F.lit(0),
         )
 
-    counted = F.get(F.transform(F.array(F.array_sort(tokens)), runs), F.lit(0))
+    counted = F.get(F.transform(F.array(F.sort_array(tokens)), runs), F.lit(0))
     return F.when(F.size(tokens) > 0, counted)

@@ -14,6 +14,7 @@ from pressroom.operators.split import MAIN_SPLIT, hash_split, random_split
 from pressroom.plans.features import count_pipeline, label_pipeline
 from pressroom.plans.models import MAIN_PARAMS, fit_classifier
 from pressroom.session import numbered
+from pressroom.sources.store import scan_store, training_frame, write_metrics
 
 
 @dataclass
@@ -122,3 +123,21 @@ def load(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
     """The saved model and its ``(label, category)`` map."""
     labels = spark.read.schema("label int, category string").parquet(f"{path}/labels")
     return PipelineModel.load(f"{path}/model"), labels.select(F.col("label"), "category")
+
+
+def train_from_store(
+    spark: SparkSession,
+    store_path: str,
+    model_path: str,
+    metrics_path: str,
+    family: str = "lr",
+    params: dict | None = None,
+    include_search: bool = False,
+    **prepare_options,
+) -> Trained:
+    """The whole training job: stored articles in, saved model and metric line out."""
+    articles = training_frame(scan_store(spark, store_path), include_search)
+    trained = train(articles, family, params, **prepare_options)
+    save(trained, model_path)
+    write_metrics(trained.metrics, metrics_path)
+    return trained
