@@ -29,7 +29,7 @@ from pressroom.operators.dedupe import append_unseen
 from pressroom.operators.vectors import tfidf_table, vector_terms
 from pressroom.plans import train as training
 from pressroom.plans import tune
-from pressroom.plans.features import count_pipeline, tfidf_pipeline
+from pressroom.plans.features import COUNT_TERMS, count_pipeline, tfidf_pipeline
 from pressroom.plans.predict import predict
 from pressroom.schemas import SEARCH_FIELDS
 from pressroom.session import scratch_path, spread
@@ -295,8 +295,9 @@ def tfidf_vectors(spark, sf_dir):
 
 
 def tfidf_stages(spark, sf_dir):
+    """The model form, at the vocabulary size models are given; ``tfidf_vectors`` has no such bound."""
     docs = _documents(spark, sf_dir)
-    model = tfidf_pipeline().fit(docs)
+    model = tfidf_pipeline(vocab_size=COUNT_TERMS).fit(docs)
     terms = model.stages[3].vocabulary
     return vector_terms(model.transform(docs), "features", terms, "doc_id").select(
         "doc_id", "term", F.round("value", 6).alias("value")
@@ -613,8 +614,11 @@ def _totals_sql(tokens: str) -> str:
     SELECT term, count(DISTINCT doc_id) AS n_docs, count(*) AS n FROM t GROUP BY term"""
 
 
-_TFIDF = f"""
-    WITH t AS (SELECT doc_id, unnest({_kept(_MATCH, ENGLISH_STOP_WORDS)}) AS term FROM documents),
+def _tfidf_sql(terms: str = "") -> str:
+    return f"""
+    WITH all_t AS (SELECT doc_id, unnest({_kept(_MATCH, ENGLISH_STOP_WORDS)}) AS term FROM documents),
+    vocab AS (SELECT term FROM all_t GROUP BY term ORDER BY count(*) DESC, term {terms}),
+    t AS (SELECT * FROM all_t SEMI JOIN vocab USING (term)),
     tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY doc_id, term),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
     w AS (
@@ -922,8 +926,8 @@ def oracle_sql() -> dict[str, str]:
             vocab AS (SELECT term FROM t GROUP BY term ORDER BY count(*) DESC, term LIMIT 10000)
             SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS value FROM t JOIN vocab USING (term)
             GROUP BY doc_id, term""",
-        "tfidf_vectors": _TFIDF,
-        "tfidf_stages": _TFIDF,
+        "tfidf_vectors": _tfidf_sql(),
+        "tfidf_stages": _tfidf_sql(f"LIMIT {COUNT_TERMS}"),
         "label_index": _label_sql("count(*) DESC, lang"),
         "label_alpha": _label_sql("lang"),
         "label_first_seen": f'SELECT category, "categoryId" FROM ({_first_seen_sql("source")})',
