@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,10 +57,13 @@ def with_row_index(df: DataFrame, order_col: str, output_col: str = "row_index")
     ranges = 4 * max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
-    cut = QuantileDiscretizer(
-        inputCol=order_col, outputCol="_range", numBuckets=ranges,
-        relativeError=1 / (10 * ranges),
-    ).fit(df.select(order_col))
+    quantiles = df.approxQuantile(
+        order_col, [i / ranges for i in range(1, ranges)], 1 / (10 * ranges)
+    )
+    edges = sorted(set(quantiles)) or [0.0]
+    cut = Bucketizer(
+        splits=[-math.inf, *edges, math.inf], inputCol=order_col, outputCol="_range"
+    )
     ranged = cut.transform(df).withColumn("_range", F.col("_range").cast("int"))
     sizes = cut.transform(df.select(order_col)).groupBy(F.col("_range").cast("int").alias("_range"))
     # At most ``ranges`` rows from here on.
@@ -86,7 +91,8 @@ def batch_bounds(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     There are ``rows div batch_rows + 1`` of them, so an exact multiple ends with an empty one.
     """
     rows = df.agg(F.count(F.lit(1)).alias("rows"))
-    slices = rows.select("rows", F.explode(F.expr(f"sequence(0L, rows div {int(batch_rows)})")).alias("batch"))
+    batches = F.expr(f"sequence(0L, rows div {int(batch_rows)})")
+    slices = rows.select("rows", F.explode(batches).alias("batch"))
     start = F.col("batch") * batch_rows
     return slices.select(
         "batch", start.alias("start_row"),

@@ -174,3 +174,41 @@ def test_leaderboard_and_metric_rows(spark):
     assert [r["model"] for r in evaluate.leaderboard({"low": low, "high": high}).collect()] == ["high", "low"]
     rows = {tuple(r) for r in evaluate.metric_rows("m", low).collect()}
     assert rows == {("m", "accuracy", 0.1), ("m", "f1", 0.2)}
+
+
+@pytest.mark.parametrize("ids", [[], [7], [3, 9]])
+def test_row_index_of_very_few_rows(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r["id"]: r["row_index"] for r in split.with_row_index(df, "id").collect()}
+    assert got == {v: i for i, v in enumerate(sorted(ids))}
+
+
+def test_tfidf_table_without_broadcasts_by_size(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = vectors.tfidf_table(documents(spark), "id", "words")
+        assert "SortMergeJoin" in table._jdf.queryExecution().sparkPlan().toString()
+        got = {(r["id"], r["term"]): r["value"] for r in table.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == pytest.approx(expected_tfidf())
+
+
+def test_tfidf_of_nothing(spark):
+    empty = documents(spark).limit(0)
+    assert vectors.tfidf_table(empty, "id", "words").count() == 0
+
+
+def test_metrics_of_nothing(spark):
+    df = spark.createDataFrame([], "label double, prediction double")
+    assert tuple(evaluate.weighted_metrics(evaluate.confusion(df)).first()) == (0.0, 0.0, 0.0, 0.0)
+
+
+def test_vocabulary_tokenizes_once(spark):
+    from pressroom.functions.tokens import gap_tokenizer
+
+    texts = spark.createDataFrame([("a b",)], "text string")
+    plan = vectors.vocabulary(gap_tokenizer().transform(texts), "words", 5)
+    shown = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("UDF(" in line for line in shown.splitlines()) == 1, shown
