@@ -35,14 +35,13 @@ def class_scores(counts: DataFrame) -> DataFrame:
         F.sum("tp").alias("tp"), F.sum("support").alias("support"),
         F.sum("predicted").alias("predicted"),
     )
-    scored = sums.select(
+    return sums.select(
         "class", "support", "predicted",
         _ratio(F.col("tp"), F.col("predicted")).alias("precision"),
         _ratio(F.col("tp"), F.col("support")).alias("recall"),
         _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"),
         "tp",
     )
-    return scored
 
 
 def weighted_metrics(counts: DataFrame) -> DataFrame:

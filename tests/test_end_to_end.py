@@ -1,9 +1,11 @@
 import json
 
-from pressroom.plans.predict import predict_text
+from pressroom.plans.predict import predict, predict_text
 from pressroom.plans.train import load, train_from_store
 from pressroom.sources.feeds import feed_articles
 from pressroom.sources.messages import encode_messages, stream_message_files, write_message_files
+from pressroom.sources.search import search_articles
+from pressroom.schemas import SEARCH_FIELDS
 from pressroom.streaming.ingest import start_ingest
 
 
@@ -33,6 +35,15 @@ def test_feeds_to_store_to_model(spark, tmp_path):
     assert {r["category"] for r in labels.collect()} == {"sports", "tech"}
     assert predict_text(spark, model, "The coach and the team") == "sports"
     assert predict_text(spark, model, "robot chip") == "tech"
+
+    # Search articles are told by their summary, and have their topic to compare with.
+    found = [
+        {f: None for f in SEARCH_FIELDS} | {"summary": s, "topic": t}
+        for s, t in [("a robot writes code", "tech"), ("one more goal in the match", "sports")]
+    ]
+    bodies = spark.createDataFrame([(json.dumps({"articles": found}),)], "body string")
+    texts = search_articles(bodies, "body").withColumnRenamed("summary", "text")
+    assert predict(model, texts).where("predicted = topic").count() == 2
     line = next((tmp_path / "metrics").glob("*.csv")).read_text().strip()
     assert [float(x) for x in line.split(",")] == [1.0] * 4
 
