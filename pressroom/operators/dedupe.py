@@ -36,11 +36,14 @@ def with_match_keys(articles: DataFrame) -> DataFrame:
     """
     rows = widen(articles).where(_has_any(ARTICLE_FIELDS)).distinct()
     rss, search = _has_any(RSS_FIELDS), _has_any(SEARCH_FIELDS)
-    keys = (
-        F.when(rss & search, F.array(_key(ARTICLE_FIELDS), _key(RSS_FIELDS), _key(SEARCH_FIELDS)))
-        .when(rss, F.array(_key(RSS_FIELDS)))
-        .otherwise(F.array(_key(SEARCH_FIELDS)))
+    keys = F.array_compact(
+        F.array(
+            F.when(rss & search, _key(ARTICLE_FIELDS)),
+            F.when(rss, _key(RSS_FIELDS)),
+            F.when(search, _key(SEARCH_FIELDS)),
+        )
     )
+    # The widest key comes first, and is the one the row asks for.
     return rows.withColumn("match_keys", keys).withColumn("asks", F.get("match_keys", F.lit(0)))
 
 

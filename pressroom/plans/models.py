@@ -89,6 +89,8 @@ def fit_boosted(
     data. Trees hold every feature of a row densely while training, so keep the vocabulary small.
     """
     rounds = rounds or boosting_rounds(train.count())
+    # Every ten rounds the running predictions are checkpointed there, which cuts their lineage.
+    ensure_checkpoint_dir(train.sparkSession)
 
     def one(k: int) -> Model:
         booster = GBTClassifier(

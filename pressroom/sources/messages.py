@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pressroom.schemas import ARTICLE_FIELDS, MESSAGE
 
@@ -76,6 +77,24 @@ def write_topic(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
     )
 
 
+def start_publishing(
+    messages: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC, period: str | None = None
+) -> StreamingQuery:
+    """Send the messages of a stream to a Kafka topic, every ``period`` or what is there once.
+
+    ``encode_messages`` works on streams too, so landed files can be published as they come.
+    """
+    trigger = {"processingTime": period} if period else {"availableNow": True}
+    return (
+        messages.select("value").writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def stream_topic(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataFrame:
     """Messages of a Kafka topic from its beginning. Needs the Kafka connector on the classpath.
 

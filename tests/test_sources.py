@@ -206,9 +206,25 @@ def test_metric_file(spark, tmp_path):
     assert lines == ["0.1,0.2,0.3,0.4"]
 
 
-def test_kafka_needs_its_connector(spark):
+def test_kafka_needs_its_connector(spark, tmp_path):
     with pytest.raises(Exception, match="kafka"):
         messages.stream_topic(spark, "nowhere:9092")
+    one = spark.createDataFrame([("[]",)], "value string")
+    with pytest.raises(Exception, match="kafka"):
+        messages.write_topic(one, "nowhere:9092")
+
+
+def test_messages_of_a_stream(spark, tmp_path):
+    articles = spark.createDataFrame([("a", "x"), ("b", "y")], "text string, category string").coalesce(1)
+    articles.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(articles.schema).parquet(str(tmp_path / "in"))
+    (
+        messages.encode_messages(stream).writeStream.format("text")
+        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True).start().awaitTermination(120)
+    )
+    back = messages.decode_messages(messages.read_message_files(spark, str(tmp_path / "out")))
+    assert {r["text"] for r in back.collect()} == {"a", "b"}
 
 
 def test_request_plan_without_apis_is_empty(spark):
