@@ -3,7 +3,6 @@ from collections import Counter
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import functions as F
 
 from pressroom.operators import evaluate, labels, profile, split, vectors
 

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from pressroom.schemas import ARTICLE_FIELDS, SEARCH_FIELDS
 from pressroom.sources import catalog, feeds, messages, requests, search, store
