@@ -38,6 +38,23 @@ from pressroom.sources import catalog, feeds, messages, requests, search, store
 from pressroom.streaming.ingest import start_ingest
 from pressroom.streaming.score import start_scoring
 
+# --- training-data operators, present only together with their subpackage -------------------------
+
+
+def _optional() -> tuple[dict, dict]:
+    """Queries and SQL of the subpackage and the pipeline, or none where those files are absent."""
+    try:
+        import corpus_pipeline
+        from pressroom.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "pressroom.llm"):
+            raise
+        return {}, {}
+    queries = registry.QUERIES | {"pipeline": corpus_pipeline.run}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return queries, registry.ORACLE_SQL | sql
+
+
 # --- tables ---------------------------------------------------------------------------------
 
 
@@ -589,7 +606,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "accuracy": accuracy,
         "class_report": class_report,
         "leaderboard": leaderboard,
-    }
+    } | _optional()[0]
 
 
 # --- oracles --------------------------------------------------------------------------------
@@ -959,4 +976,4 @@ def oracle_sql() -> dict[str, str]:
             "SELECT round(avg(CASE WHEN category = predicted THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM nb",
         ),
         "class_report": _nb_sql(_QUALITY_DOCS, _REPORT),
-    }
+    } | _optional()[1]
