@@ -39,7 +39,7 @@ RULES = (
     Rule("many_symbols", "10 * n_symbols > n_words"),
     Rule("short_words", "word_chars < 3 * n_words"),
     Rule("long_words", "word_chars > 12 * n_words"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("shouting", "100 * n_upper > 40 * word_chars"),
     Rule("very_long", "n_words > 100000"),
 )
@@ -207,7 +207,7 @@ WITH d AS (
     CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
     + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN word_chars < 3 * n_words THEN 8 ELSE 0 END
     + CASE WHEN word_chars > 12 * n_words THEN 16 ELSE 0 END
-    + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 32 ELSE 0 END
+    + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 32 ELSE 0 END
     + CASE WHEN 100 * n_upper > 40 * word_chars THEN 64 ELSE 0 END
     + CASE WHEN n_words > 100000 THEN 128 ELSE 0 END AS failures
   FROM m
