@@ -4,19 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pressroom.llm.bpe import bpe_query
 from pressroom.llm.common import table
+from pressroom.llm.packing import packing_query
 from pressroom.llm.rules import RULES_SQL, rules_query
 
 
+BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def _on(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """A query over one whole table."""
     return lambda spark, sf_dir: query(table(spark, sf_dir, name))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": _on("documents", lambda docs: packing_query(docs, BPE_JSON)),
     "op4_quality_rules": _on("documents", rules_query),
+    "op6_byte_bpe": _on("documents", lambda docs: bpe_query(docs, BPE_RANKS)),
 }
 
 ORACLE_SQL: dict[str, str] = {
