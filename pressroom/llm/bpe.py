@@ -16,11 +16,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pressroom.llm.pretokens import PATTERN, Memo, in_slices, pretokens
 
 #: Pre-tokens of more bytes are merged one by one.
 LANE_BYTES = 256
+#: Rows decoded together.
+DECODE_ROWS = 256
 #: Stands above every rank.
 _NONE = 1 << 20
 
@@ -197,46 +200,65 @@ def _memo(path: str) -> Memo:
     return Memo(lambda words: encode_words(ranks, words))
 
 
-def encoder(path: str, pattern: str = PATTERN):
-    """A column function: text to its ids, an array of int.
+def encode_documents(
+    docs: DataFrame, path: str, pattern: str = PATTERN, text: str = "text", ids: str = "token_ids",
+    keep_text: bool = True,
+) -> DataFrame:
+    """``docs`` with the ids of each whole text, an array of int; a column of that name is replaced.
 
     A null or empty text has no ids. Pre-tokens are the matches of ``pattern``; nothing is read as a
-    special token. Any length of text, and any length of one match, is encoded whole.
+    special token. Any length of text, and any length of one match, is encoded whole; repeated rows
+    alike; other columns are carried. Rows leave in small slices, so that no large batch is held.
     """
+    source = docs.drop(ids)
+    kept = [c for c in source.columns if keep_text or c != text]
+    at = source.columns.index(text)
+    schema = T.StructType([*(source.schema[c] for c in kept), T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _memo(path)
         for batch in batches:
-            found: list[bytes] = []
-            for texts in in_slices(batch.to_pylist()):
-                found += memo.joined([list(pretokens(t, pattern)) for t in texts])
-            offsets = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
-            values = np.frombuffer(b"".join(found), "<i4")
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
-
-    return F.arrow_udf(encode, "array<int>")
-
-
-def decoder(path: str):
-    """A column function: ids to the bytes they stand for. Null gives null, no ids give no bytes."""
-
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for some, texts in in_slices(batch, at):
+                found = memo.joined([list(pretokens(t, pattern)) for t in texts])
+                offsets = np.zeros(len(found) + 1, np.int32)
+                np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
+                values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*(some.column(c) for c in kept), pa.ListArray.from_arrays(pa.array(offsets), values)],
+                    names=schema.names)
+
+    return source.mapInArrow(encode, schema)
+
+
+def decode_documents(
+    coded: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded", keep_ids: bool = True
+) -> DataFrame:
+    """``coded`` with the bytes its ids stand for. Null gives null, no ids give no bytes."""
+    source = coded.drop(out)
+    kept = [c for c in source.columns if keep_ids or c != ids]
+    at = source.columns.index(ids)
+    schema = T.StructType([*(source.schema[c] for c in kept), T.StructField(out, T.BinaryType())])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = _ranks(path).token
         for batch in batches:
-            bounds, values = batch.offsets.to_numpy(), batch.values.to_numpy()
-            yield pa.array(
-                [b"".join(map(token.__getitem__, values[a:b].tolist())) if there else None
-                 for a, b, there in zip(bounds, bounds[1:], batch.is_valid().to_pylist())],
-                pa.binary())
+            for first in range(0, batch.num_rows, DECODE_ROWS):
+                some = batch.slice(first, DECODE_ROWS)
+                column = some.column(at)
+                bounds, values = column.offsets.to_numpy(), column.values
+                data = [
+                    b"".join(map(token.__getitem__, values[a:b].to_pylist())) if there else None
+                    for a, b, there in zip(bounds, bounds[1:], column.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [*(some.column(c) for c in kept), pa.array(data, pa.binary())], names=schema.names)
 
-    return F.arrow_udf(decode, "binary")
+    return source.mapInArrow(decode, schema)
 
 
 def bpe_query(docs: DataFrame, path: str) -> DataFrame:
-    coded = docs.select("doc_id", encoder(path)(F.col("text")).alias("ids"))
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decoder(path)(F.col("ids")), 256).alias("decoded_sha256"))
+    coded = encode_documents(docs.select("doc_id", "text"), path, keep_text=False)
+    digests = F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")).cast("binary"), 256)
+    back = decode_documents(
+        coded.withColumns({"n_tokens": F.size("token_ids").cast("long"), "ids_sha256": digests}), path,
+        keep_ids=False)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -87,8 +87,7 @@ def cut_documents(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for texts in in_slices(batch.column(1).to_pylist()):
+            for some, texts in in_slices(batch, 1):
                 rows, piece, start, ids = [], [], [], []
                 for i, data in enumerate(_token_bytes(tokenizer, texts)):
                     data += end
@@ -96,13 +95,12 @@ def cut_documents(
                     first = n % capacity or capacity
                     bounds = [0, *range(first, n + 1, capacity)]
                     for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                        rows.append(at + i)
+                        rows.append(i)
                         piece.append(k)
                         start.append(a)
                         ids.append(data[4 * a:4 * b])
-                at += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), pa.array(piece, pa.int32()),
+                    [some.column(0).take(pa.array(rows)), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array(ids, pa.binary())],
                     names=schema.names)

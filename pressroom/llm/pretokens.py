@@ -7,6 +7,9 @@ from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import batched
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: The split pattern of the public byte-level vocabularies, as their library gives it.
@@ -48,40 +51,39 @@ def pretokens(text: str, pattern: str = PATTERN) -> Iterator[list[str]]:
 class Memo:
     """Encodes pre-tokens to bytes, those not seen of late all together.
 
-    ``encode`` maps a list of distinct pre-tokens to as many bytes objects.
+    ``encode`` maps a list of distinct pre-tokens to as many bytes objects. A pre-token is remembered
+    from its second sighting on, since most are never seen again.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self.encode = encode
         self.known: dict[str, bytes] = {}
+        self.seen = bytearray(1 << 22)
 
     def joined(self, texts: list[list[list[str]]]) -> list[bytes]:
         """For each text, given as its lists of pre-tokens, the bytes of all its pre-tokens."""
-        new = set().union(*(words for text in texts for words in text)) - self.known.keys()
-        passing = {}
-        if new:
-            if len(self.known) + len(new) > MEMO_SIZE:
-                self.known.clear()
-                new = set().union(*(words for text in texts for words in text))
-            ordered = sorted(new)
-            for word, value in zip(ordered, self.encode(ordered)):
-                (self.known if len(word) <= MEMO_LENGTH else passing)[word] = value
-        if passing:
-            get = lambda word: self.known.get(word) or passing[word]
-        else:
-            get = self.known.__getitem__
-        return [b"".join(b"".join(map(get, words)) for words in text) for text in texts]
-
-
-def in_slices(texts: list[str | None], characters: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts in runs of about so many characters; null counts as empty."""
-    some, size = [], 0
-    for text in texts:
-        text = text or ""
-        some.append(text)
-        size += len(text)
-        if size >= characters:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
+        if len(self.known) > MEMO_SIZE:
+            self.known.clear()
+            self.seen = bytearray(1 << 22)
+        known, seen = self.known, self.seen
+        new = sorted(set().union(*(words for text in texts for words in text)) - known.keys())
+        known.update(zip(new, self.encode(new) if new else ()))
+        get = known.__getitem__
+        out = [b"".join(b"".join(map(get, words)) for words in text) for text in texts]
+        for word in new:
+            place = hash(word) & 0x3FFFFF
+            if len(word) > MEMO_LENGTH or not seen[place]:
+                seen[place] = 1
+                del known[word]
+        return out
+
+
+def in_slices(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """A batch in slices whose texts have about so many bytes, each with its texts; null is empty."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths.astype(np.int64) + 64) // size
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for a, b in zip(bounds, bounds[1:]):
+        if b > a:
+            some = batch.slice(a, b - a)
+            yield some, [text or "" for text in some.column(column).to_pylist()]
