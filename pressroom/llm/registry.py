@@ -11,7 +11,9 @@ from pressroom.llm.bpe import bpe_query
 from pressroom.llm.common import table
 from pressroom.llm.packing import packing_query
 from pressroom.llm.rules import RULES_SQL, rules_query
-
+from pressroom.llm.toxicity import toxicity_query
+from pressroom.llm.urls import url_query
+from pressroom.llm.wordpiece import piece_query
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,8 +26,11 @@ def _on(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _on("documents", lambda docs: packing_query(docs, BPE_JSON)),
+    "op3_piece_counts": _on("documents", lambda docs: piece_query(docs, BPE_RANKS)),
     "op4_quality_rules": _on("documents", rules_query),
     "op6_byte_bpe": _on("documents", lambda docs: bpe_query(docs, BPE_RANKS)),
+    "op8_toxicity": lambda spark, d: toxicity_query(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op10_url_filter": _on("pages", url_query),
 }
 
 ORACLE_SQL: dict[str, str] = {
