@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pressroom.llm.bpe import bpe_query
+from pressroom.llm.chosen_path import chosen_path_query
 from pressroom.llm.common import table
+from pressroom.llm.p_stable import embedding_query
 from pressroom.llm.packing import packing_query
 from pressroom.llm.rules import RULES_SQL, rules_query
 from pressroom.llm.toxicity import toxicity_query
@@ -28,8 +30,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _on("documents", lambda docs: packing_query(docs, BPE_JSON)),
     "op3_piece_counts": _on("documents", lambda docs: piece_query(docs, BPE_RANKS)),
     "op4_quality_rules": _on("documents", rules_query),
+    "op5_embedding_near_dedup": _on("embeddings", embedding_query),
     "op6_byte_bpe": _on("documents", lambda docs: bpe_query(docs, BPE_RANKS)),
     "op8_toxicity": lambda spark, d: toxicity_query(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op9_chosen_path_join": _on("documents", chosen_path_query),
     "op10_url_filter": _on("pages", url_query),
 }
 
