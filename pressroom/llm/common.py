@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressroom.session import scratch_path
+
 #: Characters that separate words: space and the ASCII controls tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
 #: A word, as a pattern for Spark, Python and DuckDB alike.
@@ -29,3 +31,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     computed again for every element of an inner lambda.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def written_by(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``df`` written to the scratch folder, one folder per value of ``column``, and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

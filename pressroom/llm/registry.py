@@ -12,6 +12,7 @@ from pressroom.llm.chosen_path import chosen_path_query
 from pressroom.llm.common import table
 from pressroom.llm.p_stable import embedding_query
 from pressroom.llm.packing import packing_query
+from pressroom.llm.pitman_yor import pitman_yor_query
 from pressroom.llm.rules import RULES_SQL, rules_query
 from pressroom.llm.toxicity import toxicity_query
 from pressroom.llm.urls import url_query
@@ -28,6 +29,7 @@ def _on(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _on("documents", lambda docs: packing_query(docs, BPE_JSON)),
+    "op2_pitman_yor": _on("documents", pitman_yor_query),
     "op3_piece_counts": _on("documents", lambda docs: piece_query(docs, BPE_RANKS)),
     "op4_quality_rules": _on("documents", rules_query),
     "op5_embedding_near_dedup": _on("embeddings", embedding_query),
