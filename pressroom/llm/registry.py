@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pressroom.llm.bpe import bpe_query
 from pressroom.llm.chosen_path import chosen_path_query
 from pressroom.llm.common import table
+from pressroom.llm.kneser_ney import kneser_ney_query
 from pressroom.llm.p_stable import embedding_query
 from pressroom.llm.packing import packing_query
 from pressroom.llm.pitman_yor import pitman_yor_query
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": _on("documents", rules_query),
     "op5_embedding_near_dedup": _on("embeddings", embedding_query),
     "op6_byte_bpe": _on("documents", lambda docs: bpe_query(docs, BPE_RANKS)),
+    "op7_kneser_ney": lambda spark, d: kneser_ney_query(table(spark, d, "documents"), table(spark, d, "labels")),
     "op8_toxicity": lambda spark, d: toxicity_query(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_chosen_path_join": _on("documents", chosen_path_query),
     "op10_url_filter": _on("pages", url_query),
