@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,7 @@ def shingles(text: str, known: dict[str, int]) -> np.ndarray:
     words = _WORD.findall(text)
     if len(known) > MEMO_SIZE:
         known.clear()
-    for word in set(words) - known.keys():
+    for word in filterfalse(known.__contains__, set(words)):
         known[word] = xxhash.xxh64_intdigest(word)
     hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     if len(words) == 0:

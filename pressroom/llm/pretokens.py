@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import batched
+from itertools import batched, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +66,8 @@ class Memo:
             self.known.clear()
             self.seen = bytearray(1 << 22)
         known, seen = self.known, self.seen
-        new = sorted(set().union(*(words for text in texts for words in text)) - known.keys())
+        every = set().union(*(words for text in texts for words in text))
+        new = sorted(filterfalse(known.__contains__, every))
         known.update(zip(new, self.encode(new) if new else ()))
         get = known.__getitem__
         out = [b"".join(b"".join(map(get, words)) for words in text) for text in texts]

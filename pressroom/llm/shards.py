@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -160,7 +161,7 @@ def token_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
                     words = words_of(text)
                     if len(known) > MEMO_SIZE:
                         known.clear()
-                    for word in set(words) - known.keys():
+                    for word in filterfalse(known.__contains__, set(words)):
                         known[word] = _hash(word)
                     words.append(b"\n")
                     known[b"\n"] = END

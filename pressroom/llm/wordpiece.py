@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -105,7 +106,7 @@ def word_counts(path: str):
                     if len(known) > MEMO_SIZE:
                         known.clear()
                     short = []
-                    for word in set(words) - known.keys():
+                    for word in filterfalse(known.__contains__, set(words)):
                         known[word] = automaton.count(word.encode())
                         if len(word) > MEMO_LENGTH:
                             short.append(word)
