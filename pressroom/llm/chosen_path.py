@@ -272,13 +272,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their class: one text of each class, with all its columns.
+    """One row of ``docs`` for each class, with all its columns: the one whose id names the class.
 
-    Ids are expected to be unique; of several rows with the kept id all stay. Rows without an id stay.
+    Of repeated rows with that id one stays. Rows without an id name no class and stay.
     """
     judged = near_duplicates(docs, id_column, text_column)
     out = judged.where(F.col("class_id") != F.col(id_column)).select(F.col(id_column).alias("_out")).distinct()
-    return docs.join(out, docs[id_column] == out["_out"], "left_anti")
+    kept = docs.join(out, docs[id_column] == out["_out"], "left_anti")
+    repeated = judged.groupBy(id_column).agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col(id_column).alias("_again")).where("_again IS NOT NULL")
+    if repeated.isEmpty():
+        return kept
+    again = F.col(id_column) == F.col("_again")
+    return kept.join(repeated, again, "left_anti").unionByName(
+        kept.join(repeated, again, "left_semi").dropDuplicates([id_column]))
 
 
 def chosen_path_query(docs: DataFrame) -> DataFrame:
