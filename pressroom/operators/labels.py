@@ -48,10 +48,10 @@ def lookup_category(df: DataFrame, labels: DataFrame, label_col: str = "predicti
     """Add the category of an integer-valued label column.
 
     ``labels`` comes from a fitted indexer, a local table whose size the optimizer knows, so the
-    join is broadcast by that size.
+    join is broadcast by that size. A label that is null or not in the table has a null category.
     """
     named = labels.withColumnRenamed("label", "_label")
-    return df.join(named, F.col(label_col).cast("int") == F.col("_label")).drop("_label")
+    return df.join(named, F.col(label_col).cast("int") == F.col("_label"), "left").drop("_label")
 
 
 def category_namer(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressroom.session import write_and_read
+
 # The weights and seeds of the main trainer, the tuned families and boosting.
 MAIN_SPLIT = ([0.7, 0.3], 100)
 TUNED_SPLIT = ([0.7, 0.2], 42)
@@ -47,35 +46,26 @@ def hash_split(df: DataFrame, key_col: str, weights: list[float]) -> list[DataFr
 
 
 def with_row_index(df: DataFrame, order_col: str, output_col: str = "row_index") -> DataFrame:
-    """Number the rows from 0 in the order of a unique numeric column, without one big sort.
+    """Number the rows from 0 in the order of a column, nulls first, without one big sort.
 
-    Quantiles cut the order into ranges of about equal size, each range is numbered in its own
-    window, and the sizes of the ranges before it are added. The ranges are fixed values once
-    the quantiles are known, so a recomputed task numbers its rows the same way.
+    The rows are dealt to ranges of the order, whose bounds Spark takes from a sample, and written with
+    the number of their range; then each range is numbered in its own window and the sizes of the
+    ranges before it are added. Equal values get successive numbers in no certain order. Any column
+    that can be sorted will do; as the ranges are written, a recomputed task can't number otherwise.
     """
-    spark = df.sparkSession
-    ranges = 4 * max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
-    quantiles = df.approxQuantile(
-        order_col, [i / ranges for i in range(1, ranges)], 1 / (10 * ranges)
-    )
-    edges = sorted(set(quantiles)) or [0.0]
-    cut = Bucketizer(
-        splits=[-math.inf, *edges, math.inf], inputCol=order_col, outputCol="_range"
-    )
-    ranged = cut.transform(df).withColumn("_range", F.col("_range").cast("int"))
-    sizes = cut.transform(df.select(order_col)).groupBy(F.col("_range").cast("int").alias("_range"))
-    # At most ``ranges`` rows from here on.
+    dealt = write_and_read(
+        df.repartitionByRange(F.col(order_col).asc_nulls_first())
+        .withColumn("_range", F.spark_partition_id()), "ranges")
+    # One row per range from here on.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.agg(F.count(F.lit(1)).alias("_size")).select(
-        "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order_col)) - 1
+    offsets = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).select(
+        "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(
+        Window.partitionBy("_range").orderBy(F.col(order_col).asc_nulls_first())) - 1
     return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(output_col, (F.col("_offset") + inside).cast("long"))
-        .drop("_range", "_offset")
+        dealt.withColumn("_inside", inside).join(F.broadcast(offsets), "_range")
+        .withColumn(output_col, (F.col("_offset") + F.col("_inside")).cast("long"))
+        .drop("_range", "_offset", "_inside")
     )
 
 

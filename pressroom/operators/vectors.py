@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pressroom.functions.tokens import term_counts
 from pressroom.session import numbered, write_and_read
 
-# The most terms a model may hold: vectors, coefficients and vocabulary live on every executor.
-MAX_MODEL_TERMS = 1 << 22
+# More terms than a model of the library can number.
+_EVERY_TERM = (1 << 31) - 1
 # The most terms that are broadcast as hot in tfidf_table.
 HOT_TERMS = 10_000
 
@@ -24,14 +24,24 @@ HOT_TERMS = 10_000
 def vocabulary(df: DataFrame, tokens_col: str, size: int) -> DataFrame:
     """``(term, n)``: the ``size`` most frequent terms by total count, ties in term order.
 
-    Counts combine before the shuffle, and the cut is a distributed top-k.
+    Counts combine before the shuffle. How many terms have which count tells the count at the cut;
+    terms above it are kept as they are, and only those tied at it are put in order.
     """
     # An inner explode of a column infers a filter that would run the tokenizer a second time.
     counted = (
         df.select(F.explode_outer(tokens_col).alias("term")).where("term IS NOT NULL")
         .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     )
-    return counted.orderBy(F.desc("n"), "term").limit(size)
+    counted = write_and_read(counted, "term-counts")
+    # one row per distinct count, in the order of the counts: fewer than the square root of all tokens
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    cut = (counted.groupBy("n").agg(F.count(F.lit(1)).alias("terms"))
+           .withColumn("before", F.coalesce(F.sum("terms").over(above), F.lit(0)))
+           .where(F.col("before") < size).agg(F.min("n").alias("n"), F.max("before").alias("before"))).first()
+    if cut["n"] is None:
+        return counted.limit(0)
+    tied = counted.where(F.col("n") == cut["n"]).orderBy("term").limit(size - cut["before"])
+    return counted.where(F.col("n") > cut["n"]).unionByName(tied).orderBy(F.desc("n"), "term")
 
 
 class VocabularyVectorizer(
@@ -41,8 +51,8 @@ class VocabularyVectorizer(
 
     The built-in estimator leaves ties at the cut unordered; this one orders them by term, so two
     fits on the same data agree. ``vocabSize=0`` keeps every term, where there is no cut and the
-    built-in one serves; data with more terms than a model can hold is refused, not trimmed.
-    Fits to the built-in ``CountVectorizerModel``.
+    built-in one serves. A model of the library lists its terms on every node whatever their number;
+    ``tfidf_table`` does not. Fits to the built-in ``CountVectorizerModel``.
     """
 
     vocabSize = Param(Params._dummy(), "vocabSize", "terms to keep, 0 for all",
@@ -60,11 +70,7 @@ class VocabularyVectorizer(
         columns = {"inputCol": self.getInputCol(), "outputCol": self.getOutputCol()}
         size, binary = self.getOrDefault(self.vocabSize), self.getOrDefault(self.binary)
         if size == 0:
-            # Room for one more than fits tells "all of it" from "too much".
-            model = CountVectorizer(vocabSize=MAX_MODEL_TERMS + 1, binary=binary, **columns).fit(dataset)
-            if len(model.vocabulary) > MAX_MODEL_TERMS:
-                raise ValueError(f"over {MAX_MODEL_TERMS} terms: set vocabSize or use tfidf_table")
-            return model
+            return CountVectorizer(vocabSize=_EVERY_TERM, binary=binary, **columns).fit(dataset)
         terms = [r["term"] for r in vocabulary(dataset, self.getInputCol(), size).collect()]
         return CountVectorizerModel.from_vocabulary(terms, binary=binary, **columns)
 

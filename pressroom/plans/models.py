@@ -18,7 +18,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressroom.operators.split import BATCH_ROWS
 from pressroom.session import ensure_checkpoint_dir
 
 FAMILIES = ("lr", "nb", "rf", "boosted")
@@ -26,8 +25,8 @@ FAMILIES = ("lr", "nb", "rf", "boosted")
 # The main trainer's logistic regression.
 MAIN_PARAMS = {"maxIter": 15, "regParam": 0.3, "elasticNetParam": 0.0}
 
-# Rounds of boosting on the first batch, and on each further one.
-FIRST_BATCH_ROUNDS, NEXT_BATCH_ROUNDS = 10, 1
+# Fixed value: rounds of boosting.
+ROUNDS = 10
 
 
 class LargestMargin(
@@ -62,15 +61,10 @@ class Hidden(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWrit
         return dataset.drop(*self.getInputCols())
 
 
-def boosting_rounds(rows: int, batch_rows: int = BATCH_ROWS) -> int:
-    """Rounds that a pass over ``rows`` rows in batches would add up to."""
-    return FIRST_BATCH_ROUNDS + NEXT_BATCH_ROUNDS * (rows // batch_rows)
-
-
 def fit_boosted(
     train: DataFrame,
     n_classes: int,
-    rounds: int | None = None,
+    rounds: int = ROUNDS,
     max_depth: int = 6,
     learning_rate: float = 0.3,
     subsample: float = 1.0,
@@ -83,12 +77,10 @@ def fit_boosted(
     """Gradient-boosted trees for several classes: one binary booster per class, largest margin wins.
 
     An approximation of a softmax objective, with other numbers by design. Every round sees all
-    rows instead of one batch. ``colsample_bytree`` applies per node and ``gamma`` is the least
+    rows, and their number doesn't depend on how many there are. ``colsample_bytree`` applies per node and ``gamma`` is the least
     information gain of a split. Parameters that only pick an engine or a device are accepted and
-    unused. ``rounds`` defaults to what the batches of the data would add up to; give it for large
-    data. Trees hold every feature of a row densely while training, so keep the vocabulary small.
+    unused. Trees hold every feature of a row densely while training, so keep the vocabulary small.
     """
-    rounds = rounds or boosting_rounds(train.count())
     # Every ten rounds the running predictions are checkpointed there, which cuts their lineage.
     ensure_checkpoint_dir(train.sparkSession)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pressroom.operators.evaluate import confusion, weighted_metrics
 from pressroom.operators.labels import category_namer
-from pressroom.operators.split import MAIN_SPLIT, hash_split, random_split
+from pressroom.operators.split import MAIN_SPLIT, hash_split
 from pressroom.plans.features import count_pipeline, label_pipeline
 from pressroom.plans.models import MAIN_PARAMS, fit_classifier
 from pressroom.session import numbered
@@ -41,11 +41,6 @@ class Trained:
     metrics: DataFrame
 
 
-def _split(df: DataFrame, split: tuple[list[float], int], key: str | None) -> list[DataFrame]:
-    weights, seed = split
-    return hash_split(df, key, weights) if key else random_split(df, weights, seed)
-
-
 def prepare(
     df: DataFrame,
     features: Pipeline | None = None,
@@ -57,21 +52,24 @@ def prepare(
     """Featurize ``(text, category)`` once and split it.
 
     ``fit_on="all"`` fits vocabulary and weights on every row, test rows too; ``"train"`` leaves
-    the test rows out. ``key`` names a column whose hash decides the split, and is needed for
-    ``"train"``; without it the split is random. Fits and scores read the features again and
+    the test rows out. ``key`` names a column whose hash decides the split. Fits and scores read the features again and
     again, so they are persisted until ``release``.
+
+    Without a key the text itself decides: every copy of a text is on the same side, and a recomputed
+    row is where it was before.
     """
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
-    if fit_on == "train" and key is None:
-        raise ValueError("fit_on='train' needs a key, so that both splits are the same one")
+    if key is None:
+        key = "_text_key"
+        df = df.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
     seen = hash_split(df, key, split[0])[0] if fit_on == "train" else df
     text_model = (features or count_pipeline()).fit(seen.select("text"))
     indexer = label_pipeline(label_order).fit(df.select("category"))
     stages = PipelineModel(stages=[*text_model.stages, *indexer.stages])
     columns = ["features", "label"]
-    featurized = stages.transform(df).select(*columns, *([key] if key else [])).persist()
-    train, test = (p.select(*columns) for p in _split(featurized, split, key))
+    featurized = stages.transform(df).select(*columns, key).persist()
+    train, test = (p.select(*columns) for p in hash_split(featurized, key, split[0]))
     return Prepared(text_model, list(indexer.stages[0].labels), featurized, train, test)
 
 

@@ -53,15 +53,3 @@ def numbered(spark: SparkSession, values: list[str], index: str, value: str) ->
     """
     ids = pa.array(range(len(values)), pa.int32())
     return spark.createDataFrame(pa.table({index: ids, value: pa.array(values, pa.string())}))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Raise the parallelism of a scan that has fewer splits than the cluster has cores.
-
-    One-row-group files scan as one task; hashing a unique key spreads them. Inputs that already
-    fill the cluster are returned as they are, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)

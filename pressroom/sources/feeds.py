@@ -17,9 +17,11 @@ _ITEM = T.StructType(
         T.StructField("description", T.ArrayType(T.StringType())),
     ]
 )
-_FEED = T.StructType(
-    [T.StructField("channel", T.StructType([T.StructField("item", T.ArrayType(_ITEM))]))]
-)
+# One item with its tag; what looks like its end inside a CDATA section isn't. Possessive, so that a
+# long item needs no deep recursion.
+_ITEM_TEXT = (
+    r"(?is)<item(?:\s[^>]*+)?(?<!/)>[^<]*+"
+    r"(?:<(?!/item\s*>)(?:!\[CDATA\[.*?\]\]>)?[^<]*+)*+</item\s*>")
 
 # Blanks around a title or description are part of the text.
 _XML = {"ignoreSurroundingSpaces": "false"}
@@ -38,10 +40,14 @@ def _articles(items: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
 
 def feed_articles(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
-    """Articles of whole feed documents held in a column; a malformed document yields none."""
-    feed = F.from_xml(F.col(body_col), _FEED, _XML)
-    items = df.select(*keep, F.inline(feed["channel"]["item"]))
-    return _articles(items, keep)
+    """Articles of whole feed documents held in a column.
+
+    Items count wherever they stand: in one channel or several, beside it, or deeper. Each is parsed
+    on its own, so a malformed one costs itself alone.
+    """
+    found = F.regexp_extract_all(F.col(body_col), F.lit(_ITEM_TEXT), F.lit(0))
+    parsed = F.transform(found, lambda item: F.from_xml(item, _ITEM, _XML))
+    return _articles(df.select(*keep, F.inline(parsed)), keep)
 
 
 def read_feed_files(spark: SparkSession, paths: str | list[str], category: str) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pressroom.functions.tokens import FULL_STOP_WORDS
 from pressroom.plans import train as training
+from pressroom.plans import tune
 from pressroom.plans.features import count_pipeline, tfidf_pipeline
-from pressroom.plans.models import boosting_rounds
 from pressroom.plans.predict import predict, predict_text
 from pressroom.plans.tune import (
     RANGES, best_trial, cross_validate, grid_points, grid_size, search, with_grid,
@@ -121,8 +121,6 @@ def test_fit_on_train_leaves_test_words_out(articles):
         prepared = training.prepare(marked, key="id", fit_on=fit_on)
         assert (only_test in prepared.text_model.stages[-1].vocabulary) is known
         training.release(prepared)
-    with pytest.raises(ValueError):
-        training.prepare(marked, fit_on="train")
 
 
 def test_grids(spark):
@@ -136,8 +134,26 @@ def test_grids(spark):
     assert [r["trial"] for r in frame] == list(range(12))
 
 
-def test_boosting_rounds():
-    assert [boosting_rounds(n) for n in (5, 9_999, 10_000, 25_000)] == [10, 10, 11, 12]
+def test_names_of_working_columns_are_free_for_callers(articles):
+    trained = training.train(articles, "nb")
+    busy = articles.select(
+        "text", *(F.lit(1).alias(c) for c in ("words", "filtered", "features", "filled_text", "label",
+                                              "probability", "prediction")))
+    got = predict(trained.model, busy)
+    assert got.columns == ["text", "words", "filtered", "features", "filled_text", "label", "probability",
+                           "prediction", "predicted"]
+    assert got.count() == articles.count()
+
+
+def test_a_failing_job_is_not_a_trial(articles, monkeypatch):
+    prepared = training.prepare(articles)
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(tune, "fit_classifier", lost)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        tune.search(prepared, "nb", max_trials=1)
 
 
 def test_search_records_failures_and_keeps_the_earliest_best(prepared):

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from pressroom.session import numbered, scratch_path, spread, write_and_read
+from pressroom.session import numbered, scratch_path, write_and_read
 
 
 def session(master, setting):
@@ -26,12 +26,6 @@ def test_write_and_read(spark):
     assert back.columns == ["n"] and back.count() == 10
 
 
-def test_spread_only_what_is_too_narrow(spark):
-    narrow, wide = spark.range(100, numPartitions=1), spark.range(100, numPartitions=16)
-    assert spread(narrow, "id").rdd.getNumPartitions() == 8
-    assert spread(wide, "id") is wide
-
-
 def test_numbered_is_local(spark):
     df = numbered(spark, ["a", "b"], "i", "v")
     assert [tuple(r) for r in df.collect()] == [(0, "a"), (1, "b")]

@@ -45,6 +45,24 @@ def test_feed_column(spark):
     assert [r["text"] for r in got if r["category"] != "tech"] == ["AB"]
 
 
+def test_feed_items_anywhere(spark):
+    def item(title, more=""):
+        return f"<item><title>{title}</title><description>d{more}</description></item>"
+
+    long = "x" * 200_000
+    bodies = [
+        ("two", f"<rss><channel>{item('A')}</channel><channel>{item('B')}</channel></rss>"),
+        ("beside", f"<rdf><channel/>{item('C')}<item />{item('D')}</rdf>"),
+        ("deep", f"<rss><channel><group>{item('E')}</group></channel></rss>"),
+        ("broken", f"<rss><channel>{item('F')}{item('G & H')}{item('I')}</channel></rss>"),
+        ("cdata", f"<rss><channel>{item('J', '<![CDATA[</item> <b>]]>')}{item('K', long)}</channel></rss>"),
+    ]
+    df = spark.createDataFrame(bodies, "category string, body string")
+    got = sorted((r["category"], r["text"][:2]) for r in feeds.feed_articles(df, "body", "category").collect())
+    assert got == [("beside", "Cd"), ("beside", "Dd"), ("broken", "Fd"), ("broken", "Id"), ("cdata", "Jd"),
+                   ("cdata", "Kd"), ("deep", "Ed"), ("two", "Ad"), ("two", "Bd")]
+
+
 def test_feed_files(spark, tmp_path):
     (tmp_path / "tech.xml").write_text(FEED)
     (tmp_path / "world.xml").write_text(FEED.replace("T1", "W1"))
