@@ -24,8 +24,8 @@ from pressroom.session import write_and_read
 
 #: Ids a sequence holds.
 CAPACITY = 2048
-#: A bin with less room than this is nearly full and is not packed again.
-SLACK = 8
+#: A bin with no more room than this part of it is nearly full and is not packed again.
+SLACK = 1 / 256
 #: Rows or bytes that a task packs at once.
 CHUNK_ROWS, CHUNK_BYTES = 1 << 17, 64 << 20
 #: Tasks whose open bins the next round packs together.
@@ -191,7 +191,7 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
 
     placed = write_and_read(source.mapInArrow(local, schema), "packed")
     moves = _merge(
-        placed.where((F.col("offset") == 0) & (F.col("sequence_fill") <= capacity - SLACK))
+        placed.where((F.col("offset") == 0) & (F.col("sequence_fill") < capacity * (1 - SLACK)))
         .select(F.col("sequence_id").alias("item"), F.col("sequence_fill").alias("fill")),
         placed.rdd.getNumPartitions(), capacity)
     if moves is None:
@@ -240,7 +240,7 @@ def _merge(opened: DataFrame, groups: int, capacity: int) -> DataFrame | None:
                 (F.col("at") + F.coalesce("a2", F.lit(0).cast("long"))).alias("at"))
         if groups in (1, before):
             break
-        opened = round_.where((F.col("at") == 0) & (F.col("fill") <= capacity - SLACK)).select(
+        opened = round_.where((F.col("at") == 0) & (F.col("fill") < capacity * (1 - SLACK))).select(
             F.col("bin").alias("item"), "fill")
     return moves
 
