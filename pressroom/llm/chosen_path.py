@@ -176,9 +176,10 @@ def candidates(nodes: DataFrame, recall: float = RECALL) -> DataFrame:
         large = shared.where(F.col("size") > BUCKET)
         if last or large.isEmpty():
             return found
-        open_ = _split(
-            large.select("path", "node", "sketch").join(nodes.select("node", "mins"), "node"),
-            F.col("path")).select("node", "sketch", "path")
+        # each node fetches its min-hashes once, however many large buckets it is in
+        at = large.groupBy("node").agg(F.collect_list("path").alias("at"))
+        again = at.join(nodes, "node").select("node", "sketch", "mins", F.explode("at").alias("at"))
+        open_ = _split(again, F.col("at")).select("node", "sketch", "path")
     return found
 
 
