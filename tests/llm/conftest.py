@@ -1,22 +1,6 @@
-import random
-
 import pytest
 
-#: Rows that every operator must take: null, empty, blank, repeated, accented, very long, tied.
-WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho".split()
-
-
-def text(seed: int, words: int) -> str:
-    rng = random.Random(seed)
-    return " ".join(rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(words))
-
-
-def odd_texts() -> list[str | None]:
-    return [
-        None, "", " \n\t ", "one", "ünï çødé 日本 😀", text(1, 60), text(1, 60), text(2, 300) + "\n" + text(2, 300),
-        "same line\nsame line\n\nother", "a" * 5000, " " * 3000, text(3, 20_000), "Don't   stop\x0bnow",
-        "<|endoftext|> spelled out",
-    ]
+from llm_helpers import odd_texts
 
 
 @pytest.fixture(scope="session")
