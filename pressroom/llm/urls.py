@@ -120,7 +120,9 @@ def segmented(names: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def url_tokens(parsed: DataFrame, counts: DataFrame) -> DataFrame:
-    """``parsed`` (with ``_host`` and ``_path``) and ``_words`` of its host and ``_tokens`` of both."""
+    """``parsed`` (with ``_host`` and ``_path``) and ``_words`` of its host and ``_tokens`` of both.
+
+    A token counts once per url, so that a long repetitive path doesn't outweigh all others."""
     hosts = parsed.select("_host").distinct()
     named = hosts.select("_host", F.explode(names_of(F.col("_host"))).alias("name"))
     words = segmented(named.select("name").distinct(), counts)
@@ -137,7 +139,7 @@ def url_tokens(parsed: DataFrame, counts: DataFrame) -> DataFrame:
         lambda x: F.concat(F.lit("/"), F.regexp_replace(x, "[0-9]+", "0")))
     none = F.array().cast("array<string>")
     return joined.withColumn("_words", F.coalesce("_words", none)).withColumn(
-        "_tokens", F.concat("_words", F.coalesce(path, none)))
+        "_tokens", F.array_distinct(F.concat("_words", F.coalesce(path, none))))
 
 
 def bayes(tokens: DataFrame) -> np.ndarray:

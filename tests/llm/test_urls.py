@@ -1,0 +1,96 @@
+import math
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pressroom.llm.urls import BLOCK_WORDS, RULES, filter_urls, segment, url_query, word_counts
+
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def parsed(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = rest
+    for c in "/?#":
+        host = host.split(c)[0]
+    path = rest[len(host):].split("?")[0].split("#")[0]
+    return host.translate(UPPER), path
+
+
+def ruled(host, path):
+    fitting = [(len(h + p), h + p, v) for h, p, v in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fitting)[1:] if fitting else (None, None)
+
+
+URLS = [
+    "https://www.spam-farm.example.net/en/7?x=1", "http://cheappills.example.net/en/9", "https://Theatre.Example.NET/en/1#top",
+    "http://example.org/en/12", "http://a.example.org/es/x", "http://example.org/es", "http://notexample.org/es/x",
+    "http://x.com/fr/1", "http://x.com/de/1", "http://com/de/", "http://xcom/de/", "ftp://org/", "org/", None, "", "://", "a://b?c/d",
+    "http://h.net/a://b", "http://ünï.net/ñ/1", "x://" + "a" * 3000 + ".net/" + "b/" * 2000,
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(i, u, f"<p>theatre theatre cheap weather {i}</p>") for i, u in enumerate(URLS)]
+    rows += [(100 + i, f"https://theatre.example.net/en/{i}", "<b>theatre</b> weather") for i in range(40)]
+    rows += [(200 + i, f"https://casino-win.example.net/en/{i}", None) for i in range(5)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).cache()
+
+
+def test_hosts_paths_and_rules(pages):
+    urls = {r["page_id"]: r["url"] for r in pages.collect()}
+    rows = url_query(pages).collect()
+    assert len(rows) == len(urls)
+    for r in rows:
+        host, path = parsed(urls[r["page_id"]])
+        rule, verdict = ruled(host, path)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        assert r["verdict"] == verdict if rule else r["verdict"] in ("allow", "block")
+
+
+def test_words_of_the_host_decide_where_no_rule_does(pages):
+    got = {r["page_id"]: r for r in url_query(pages).collect()}
+    assert got[0]["verdict"] == got[1]["verdict"] == got[200]["verdict"] == "block"
+    assert got[2]["verdict"] == got[100]["verdict"] == "allow"
+    assert all(got[i]["score"] == 0 and got[i]["verdict"] == "allow" for i in (13, 14))
+
+
+def test_segments(pages):
+    judged = filter_urls(pages.select("page_id", "url"), word_counts(F.col("html"), pages)).collect()
+    words = {r["page_id"]: r["url_verdict"]["words"] for r in judged}
+    assert sorted(words[0]) == sorted(["www", "spam", "farm", "example", "net"]) or {"spam", "farm"} <= set(words[0])
+    assert {"cheap", "pills"} <= set(words[1]) and "theatre" in words[2]
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.text("ab", min_size=1, max_size=9), st.dictionaries(st.text("ab", min_size=1, max_size=4), st.integers(1, 50), max_size=8))
+def test_viterbi_finds_the_best_split(name, counts):
+    total = 1000
+
+    def splits(rest):
+        if not rest:
+            yield []
+        for k in range(1, len(rest) + 1):
+            for more in splits(rest[k:]):
+                yield [rest[:k], *more]
+
+    def score(words):
+        return sum(max(math.log10(counts[w] / total) if w in counts else -math.inf, 1 - math.log10(total) - len(w)) for w in words)
+
+    matches = [(i, len(w), n) for w, n in counts.items() for i in range(len(name)) if name.startswith(w, i)]
+    got = segment(name, matches, total)
+    assert "".join(got) == name and score(got) == pytest.approx(max(map(score, splits(name))))
+
+
+def test_other_columns_and_no_rows(pages):
+    busy = pages.select("url", F.lit(1).alias("_host"), F.lit("z").alias("url_verdict"), F.lit(2).alias("block"))
+    counts = word_counts(F.col("html"), pages)
+    got = filter_urls(busy, counts)
+    assert got.columns == ["url", "_host", "block", "url_verdict"] and got.count() == pages.count()
+    assert url_query(pages.limit(0)).count() == 0
+    assert len(set(BLOCK_WORDS)) == len(BLOCK_WORDS)
