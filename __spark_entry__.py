@@ -184,6 +184,9 @@ def request_plan(spark, sf_dir):
         lambda i: F.struct(
             F.lit("GET").alias("requestType"),
             F.concat(F.lit("https://"), F.col("event_type"), F.lit("/"), i.cast("string")).alias("url"),
+            F.create_map(F.lit("topic"), F.col("event_type"), F.lit("page"), i.cast("string")).alias("queryString"),
+            F.create_map(F.lit("key"), F.lit("secret"), F.lit("host"), F.lit("h")).alias("headers"),
+            F.when(i % 2 == 0, i).alias("APIlimit"),
         ),
     )
     config = F.struct(api.alias("api"), F.floor(F.col("value") / 10).cast("int").alias("MaxAPIS"))
@@ -192,7 +195,9 @@ def request_plan(spark, sf_dir):
     events = events.select("event_id", body.alias("body"))
     return requests.request_plan(events, "body", "event_id").select(
         "event_id", "config_key", F.col("api_index").cast("long").alias("api_index"),
-        "hit", "url", "output_name",
+        "hit", "url", "output_name", F.col("query_string")["topic"].alias("topic"),
+        F.col("query_string")["page"].alias("page"), F.array_join("header_names", ",").alias("header_names"),
+        "api_limit",
     )
 
 
@@ -202,7 +207,7 @@ def archive_keys(spark, sf_dir):
     ).otherwise("")
     path = F.concat(F.lit("./Data/"), F.year("o_orderdate").cast("string"), month, F.lit(".json"))
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", path.alias("path"))
-    return requests.with_archive_keys(orders, "path", "KEY")
+    return requests.with_archive_keys(orders, "path")
 
 
 def message_roundtrip(spark, sf_dir):
@@ -210,6 +215,16 @@ def message_roundtrip(spark, sf_dir):
     return messages.decode_messages(messages.encode_messages(docs)).select("text", "category")
 
 
+def message_rejects(spark, sf_dir):
+    """Messages of which some are no list or no JSON, counted by reason."""
+    events = _table(spark, sf_dir, "events").select("event_id", "props")
+    kind = F.col("event_id") % 4
+    value = (F.when(kind == 0, F.concat(F.lit('[{"text": "'), F.col("event_id"), F.lit('"}]')))
+             .when(kind == 1, F.col("props")).when(kind == 2, F.concat(F.lit("[{"), F.col("props"))))
+    rejected = messages.rejected_messages(events.select(value.alias("value")))
+    return rejected.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def store_scan(spark, sf_dir):
     return store.matching(
         _table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), {"lang": "fr"}
@@ -578,6 +593,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "message_roundtrip": message_roundtrip,
         "insert_if_absent": insert_if_absent,
         "stream_ingest": stream_ingest,
+        "message_rejects": message_rejects,
         "store_scan": store_scan,
         "project_fill": project_fill,
         "csv_dropna": csv_dropna,
@@ -901,7 +917,9 @@ def oracle_sql() -> dict[str, str]:
             a AS (SELECT event_id, event_type, hits, unnest(range(1, n + 1)) AS j FROM c),
             h AS (SELECT *, unnest(range(hits)) AS h FROM a)
             SELECT event_id, event_type AS config_key, j AS api_index, h AS hit,
-                   concat('https://', event_type, '/', j) AS url, concat(j, '-', h, '.json') AS output_name
+                   concat('https://', event_type, '/', j) AS url, concat(j, '-', h, '.json') AS output_name,
+                   event_type AS topic, CAST(j AS VARCHAR) AS page, 'key,host' AS header_names,
+                   CAST(CASE WHEN j % 2 = 0 THEN j END AS INTEGER) AS api_limit
             FROM h""",
         "archive_keys": """
             WITH p AS (
@@ -918,11 +936,14 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN len(k) = 2 THEN k[1] END AS year,
                    CASE WHEN len(k) = 2 THEN k[2] END AS month,
                    CASE WHEN len(k) = 2 THEN concat('https://api.nytimes.com/svc/archive/v1/', k[1], '/', k[2],
-                                                    '.json?api-key=KEY') END AS request_url,
+                                                    '.json') END AS request_url,
                    CASE WHEN len(k) = 2 THEN concat('./Data/NYTimeData/', k[1], '-', k[2], '.json') END
                      AS output_name
             FROM s""",
         "message_roundtrip": "SELECT text, lang AS category FROM documents",
+        "message_rejects": """
+            SELECT CASE event_id % 4 WHEN 1 THEN 'not a list' WHEN 2 THEN 'not JSON' ELSE 'null' END AS reason,
+                   count(*) AS n FROM events WHERE event_id % 4 <> 0 GROUP BY 1""",
         "insert_if_absent": """
             SELECT text, lang AS category FROM documents UNION SELECT text, role FROM conversations""",
         "stream_ingest": f"SELECT DISTINCT * FROM ({_MIXED})",

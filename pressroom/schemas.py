@@ -40,7 +40,7 @@ REQUEST_CONFIG = T.StructType(
                                         T.StructField("requestType", T.StringType()),
                                         T.StructField("url", T.StringType()),
                                         T.StructField(
-                                            "queryString", strings(("topic", "country", "lang"))
+                                            "queryString", T.MapType(T.StringType(), T.StringType())
                                         ),
                                         T.StructField(
                                             "headers", T.MapType(T.StringType(), T.StringType())

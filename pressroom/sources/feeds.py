@@ -50,6 +50,18 @@ def feed_articles(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
     return _articles(df.select(*keep, F.inline(parsed)), keep)
 
 
+def rejected_feeds(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
+    """``(…keep, item, reason)`` of feed documents without an item, and of items that don't parse."""
+    found = F.regexp_extract_all(F.col(body_col), F.lit(_ITEM_TEXT), F.lit(0))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit("no item").alias("reason")))
+    marked = T.StructType([*_ITEM.fields, T.StructField("_corrupt_record", T.StringType())])
+    judged = F.transform(found, lambda item: F.struct(
+        item.alias("item"),
+        F.when(F.from_xml(item, marked, _XML)["_corrupt_record"].isNotNull(), "malformed").alias("reason")))
+    rejects = F.when(F.coalesce(F.size(found), F.lit(0)) > 0, judged).otherwise(none)
+    return df.select(*keep, F.inline(rejects)).where("reason IS NOT NULL")
+
+
 def read_feed_files(spark: SparkSession, paths: str | list[str], category: str) -> DataFrame:
     """Articles of landed feed files, all of one category."""
     items = spark.read.format("xml").options(rowTag="item", **_XML).schema(_ITEM).load(paths)

@@ -14,6 +14,8 @@ from pressroom.schemas import ARTICLE_FIELDS, MESSAGE
 
 # Fixed value: the topic both article shapes share.
 TOPIC = "newsarticles"
+# Bytes of a message; a broker refuses over 1 MiB unless told otherwise.
+MESSAGE_BYTES = 1_000_000
 
 
 def _articles_json(df: DataFrame, keep_nulls: bool) -> DataFrame:
@@ -22,8 +24,12 @@ def _articles_json(df: DataFrame, keep_nulls: bool) -> DataFrame:
     return df.select(F.to_json(F.struct(*fields), options).alias("json"))
 
 
-def encode_messages(df: DataFrame, batch_size: int = 100, keep_nulls: bool = False) -> DataFrame:
-    """``(value)`` messages of at most ``batch_size`` articles each.
+def encode_messages(
+    df: DataFrame, batch_size: int = 100, keep_nulls: bool = False, max_bytes: int = MESSAGE_BYTES
+) -> DataFrame:
+    """``(value)`` messages of at most ``batch_size`` articles and ``max_bytes`` bytes each.
+
+    An article that is larger than that makes a message of its own; ``oversize`` tells those apart.
 
     Messages are cut from the rows of one partition, in their order: nothing is shuffled, no
     message grows with the data however the rows are distributed, and a rerun task makes whole
@@ -32,7 +38,13 @@ def encode_messages(df: DataFrame, batch_size: int = 100, keep_nulls: bool = Fal
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = list(range(0, batch.num_rows, batch_size)) + [batch.num_rows]
+            starts, held, size = [0], 0, 1
+            for i, length in enumerate(pc.binary_length(batch.column(0)).to_pylist()):
+                if held and (held == batch_size or size + length + 1 > max_bytes):
+                    starts.append(i)
+                    held, size = 0, 1
+                held, size = held + 1, size + length + 1
+            starts.append(batch.num_rows)
             chunks = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), batch.column(0))
             joined = pc.binary_join_element_wise("[", pc.binary_join(chunks, ","), "]", "")
             yield pa.RecordBatch.from_arrays([joined], ["value"])
@@ -40,6 +52,11 @@ def encode_messages(df: DataFrame, batch_size: int = 100, keep_nulls: bool = Fal
     return _articles_json(df, keep_nulls).mapInArrow(cut, "value string")
 
 
+def oversize(messages: DataFrame, max_bytes: int = MESSAGE_BYTES) -> DataFrame:
+    """Messages that a topic would refuse: to count, and to land as files instead."""
+    return messages.where(F.octet_length("value") > max_bytes)
+
+
 def encode_groups(groups: DataFrame, keep_nulls: bool = True) -> DataFrame:
     """``(value)`` messages of ``search_groups`` rows: one per search that found anything."""
     options = {"ignoreNullFields": str(not keep_nulls).lower()}
@@ -58,6 +75,16 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def rejected_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """``df`` with ``reason`` for the messages that ``decode_messages`` takes nothing from."""
+    value = F.col(value_col).cast("string")
+    reason = (
+        F.when(value.isNull(), "null")
+        .when(~F.ltrim(value).startswith("["), "not a list")
+        .when(F.from_json(value, MESSAGE, {"mode": "PERMISSIVE"}).isNull(), "not JSON"))
+    return df.withColumn("reason", reason).where("reason IS NOT NULL")
+
+
 def write_message_files(messages: DataFrame, path: str, mode: str = "append") -> None:
     """One message per line. JSON escapes line breaks, so a message never spans lines."""
     messages.select("value").write.mode(mode).text(path)
@@ -95,9 +122,12 @@ def start_publishing(
     )
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataFrame:
+def stream_topic(
+    spark: SparkSession, servers: str, topic: str = TOPIC, max_offsets: int = 10_000
+) -> DataFrame:
     """Messages of a Kafka topic from its beginning. Needs the Kafka connector on the classpath.
 
+    A batch takes at most ``max_offsets`` messages, so the first one is not the whole topic.
     Offsets live in the query's checkpoint, in place of a consumer group.
     """
     return (
@@ -105,6 +135,7 @@ def stream_topic(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataF
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", max_offsets)
         .load()
         .select(F.col("value").cast("string").alias("value"))
     )

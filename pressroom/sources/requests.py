@@ -19,7 +19,8 @@ REQUEST_LIMIT = {"SPORTS": 50}
 MAX_REQUESTS = 50
 
 # Where an archive month is fetched from and landed.
-ARCHIVE_URL = "https://api.nytimes.com/svc/archive/v1/{}/{}.json?api-key={}"
+ARCHIVE_URL = "https://api.nytimes.com/svc/archive/v1/{}/{}.json"
+ARCHIVE_KEY = "api-key"
 ARCHIVE_FILE = "./Data/NYTimeData/{}-{}.json"
 
 
@@ -56,6 +57,8 @@ def read_request_config(spark: SparkSession, path: str) -> DataFrame:
 def request_plan(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
     """Every request to send: the allowance of a key is shared out evenly over its APIs.
 
+    A row has all that a request needs but the secrets: its address and query parameters, the names
+    of its headers, and the limit of its API. Header values are looked up by name when it is sent.
     APIs count from 1 and hits from 0; a share below one, or a key without
     APIs, gives no request.
     """
@@ -77,11 +80,18 @@ def request_plan(df: DataFrame, body_col: str, *keep: str) -> DataFrame:
         F.explode(F.expr("sequence(0L, hits - 1)")).alias("hit"),
         F.col("api.requestType").alias("request_type"),
         F.col("api.url").alias("url"),
-        F.col("api.queryString.topic").alias("topic"),
+        F.col("api.queryString").alias("query_string"),
+        F.map_keys("api.headers").alias("header_names"),
+        F.col("api.APIlimit").alias("api_limit"),
     ).withColumn("output_name", _fill("{}-{}.json", F.col("api_index"), F.col("hit")))
 
 
-def with_archive_keys(df: DataFrame, path_col: str, api_key: str = "") -> DataFrame:
+def signed(url: str, api_key: str) -> str:
+    """The address to send an archive request to. Keys never enter a table."""
+    return f"{url}?{ARCHIVE_KEY}={api_key}"
+
+
+def with_archive_keys(df: DataFrame, path_col: str) -> DataFrame:
     """Year, month, request URL and landing file of archive paths like ``…/2019-7.json``.
 
     ``archive_ok`` is false, and the keys null, where the file name is not exactly two parts.
@@ -95,14 +105,14 @@ def with_archive_keys(df: DataFrame, path_col: str, api_key: str = "") -> DataFr
         ok.alias("archive_ok"),
         F.when(ok, year).alias("year"),
         F.when(ok, month).alias("month"),
-        F.when(ok, _fill(ARCHIVE_URL, year, month, F.lit(api_key))).alias("request_url"),
+        F.when(ok, _fill(ARCHIVE_URL, year, month)).alias("request_url"),
         F.when(ok, _fill(ARCHIVE_FILE, year, month)).alias("output_name"),
     )
 
 
-def archive_keys(df: DataFrame, path_col: str, api_key: str = "") -> DataFrame:
+def archive_keys(df: DataFrame, path_col: str) -> DataFrame:
     """The well-formed archive paths."""
-    return with_archive_keys(df, path_col, api_key).where("archive_ok").drop("archive_ok")
+    return with_archive_keys(df, path_col).where("archive_ok").drop("archive_ok")
 
 
 def archive_quarantine(df: DataFrame, path_col: str) -> DataFrame:

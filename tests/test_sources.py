@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from pressroom.schemas import ARTICLE_FIELDS, SEARCH_FIELDS
 from pressroom.sources import catalog, feeds, messages, requests, search, store
@@ -45,6 +46,25 @@ def test_feed_column(spark):
     assert [r["text"] for r in got if r["category"] != "tech"] == ["AB"]
 
 
+def test_messages_are_bounded_by_bytes(spark):
+    df = spark.range(100).select(F.repeat(F.lit("x"), 120_000).alias("text"), F.lit("c").alias("category")).coalesce(1)
+    sizes = [len(r["value"]) for r in messages.encode_messages(df).collect()]
+    assert len(sizes) == 13 and max(sizes) <= messages.MESSAGE_BYTES
+    alone = messages.encode_messages(df, max_bytes=1000)
+    assert alone.count() == 100 == messages.oversize(alone, 1000).count()
+    assert messages.decode_messages(alone).count() == 100
+
+
+def test_rejects(spark):
+    df = spark.createDataFrame([("a", "[]"), ("b", "{}"), ("c", "[{"), ("d", None), ("e", '[{"text": "t"}]')], "k string, value string")
+    assert {r["k"]: r["reason"] for r in messages.rejected_messages(df).collect()} == {
+        "b": "not a list", "c": "not JSON", "d": "null"}
+    good, bad = "<item><title>A</title><description>b</description></item>", "<item><title>A & B</title></item>"
+    df = spark.createDataFrame([("a", good + bad), ("b", "<rss/>"), ("c", None), ("d", good)], "k string, body string")
+    got = {(r["k"], r["item"], r["reason"]) for r in feeds.rejected_feeds(df, "body", "k").collect()}
+    assert got == {("a", bad, "malformed"), ("b", None, "no item"), ("c", None, "no item")}
+
+
 def test_feed_items_anywhere(spark):
     def item(title, more=""):
         return f"<item><title>{title}</title><description>d{more}</description></item>"
@@ -116,6 +136,10 @@ def test_request_plan_of_the_configured_requests(spark, tmp_path):
     ).collect()
     assert len(plan) == 48
     assert {r["output_name"] for r in plan} == {f"{j}-{i}.json" for j in range(1, 9) for i in range(6)}
+    assert {r["query_string"]["country"] for r in plan} == {"US"}
+    assert len({r["query_string"]["topic"] for r in plan}) == 7
+    assert {r["api_limit"] for r in plan} == {None, 50}
+    assert all(r["header_names"] == ["X-RapidAPI-Key", "X-RapidAPI-Host"] for r in plan)
 
 
 def test_request_plan_without_a_whole_hit_is_empty(spark):
@@ -127,9 +151,10 @@ def test_request_plan_without_a_whole_hit_is_empty(spark):
 def test_archive_keys_and_quarantine(spark):
     paths = ["./Data/2019-7.json", "./Data/2019.json", "2020-1", "a/1-2-3.json"]
     df = spark.createDataFrame([(p,) for p in paths], "path string")
-    good = requests.archive_keys(df, "path", "KEY").orderBy("year").collect()
+    good = requests.archive_keys(df, "path").orderBy("year").collect()
     assert [(r["year"], r["month"]) for r in good] == [("2019", "7"), ("2020", "1")]
-    assert good[0]["request_url"] == "https://api.nytimes.com/svc/archive/v1/2019/7.json?api-key=KEY"
+    assert good[0]["request_url"] == "https://api.nytimes.com/svc/archive/v1/2019/7.json"
+    assert requests.signed(good[0]["request_url"], "KEY").endswith("/2019/7.json?api-key=KEY")
     assert good[0]["output_name"] == "./Data/NYTimeData/2019-7.json"
     bad = {r["path"] for r in requests.archive_quarantine(df, "path").collect()}
     assert bad == {"./Data/2019.json", "a/1-2-3.json"}
