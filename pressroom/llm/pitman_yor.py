@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from pressroom.llm.common import fold, written_by
 from pressroom.llm.shards import (
-    BLOCK, COLUMNS, CONTEXTS, SCHEMA, Layout, by_key, layout_for, packed, record, summed, token_blocks, unpacked,
+    COLUMNS, CONTEXTS, SCHEMA, Layout, by_key, layout_for, packed, record, summed, token_blocks,
+    unpacked, unpacked_tokens,
 )
 
 #: Discount and strength of the context restaurants and of the root.
@@ -78,7 +79,7 @@ class Shard:
     def __init__(self, number: int, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray, layout: Layout):
         self.number, self.words, self.pairs = number, words, pairs
         self.counts = counts.astype(np.int64)
-        self.word, self.context = pairs >> _BITS, pairs & (CONTEXTS - 1)
+        self.word, self.context = (pairs >> _BITS).astype(np.int32), (pairs & (CONTEXTS - 1)).astype(np.int32)
         self.hot = layout.hot_index(words)
         self.is_hot = self.hot >= 0
         self.word_counts = np.bincount(self.word, self.counts, len(words)).astype(np.int64)
@@ -153,7 +154,7 @@ def _counted(blocks: DataFrame, layout: Layout) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, schema in by_key(batches, "shard"):
-            read = [(r["train"], *unpacked(r["block"], *BLOCK)[:3]) for r in rows if r["block"] is not None]
+            read = [(r["train"], *unpacked_tokens(r["block"])[:3]) for r in rows if r["block"] is not None]
             words = np.unique(np.concatenate([w for _, w, _, _ in read])) if read else np.zeros(0, np.uint64)
             keys = [np.repeat(np.searchsorted(words, w), n) << _BITS | c for train, w, n, c in read if train]
             pairs, counts = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
@@ -218,7 +219,7 @@ def score_texts(
                     shard = _Averaged(_loaded(row["shard"], row["block"], layout), history)
                     continue
                 if row["block"] is not None:
-                    words, counts, contexts, docs = unpacked(row["block"], *BLOCK)
+                    words, counts, contexts, docs = unpacked_tokens(row["block"])
                     at = np.repeat(np.searchsorted(shard.shard.words, words), counts)
                     values = shard.scores(at, contexts.astype(np.int64), last)
                     found = np.flatnonzero(np.bincount(docs))

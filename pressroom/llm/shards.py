@@ -28,7 +28,7 @@ CONTEXTS = 1 << 14
 #: Tokens of a chunk, about, and its documents at most.
 CHUNK_TOKENS, CHUNK_DOCUMENTS = 1 << 21, 1 << 16
 #: Characters of text for each shard.
-SHARD_CHARACTERS = 48_000_000
+SHARD_CHARACTERS = 16_000_000
 #: One document in so many nominates hot words: they are an arrangement only and change no result.
 NOMINATING = 64
 
@@ -81,20 +81,33 @@ def layout_for(docs: DataFrame, text: str = "text") -> Layout:
 
 
 def packed(*arrays: np.ndarray) -> bytes:
+    """The arrays compressed, their bytes by significance, since the higher ones are often alike."""
     sizes = np.array([a.nbytes for a in arrays], np.int64)
-    return zstandard.compress(sizes.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), 1)
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.compress(sizes.tobytes() + b"".join(planes), 1)
 
 
 def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
     raw = zstandard.decompress(data)
     at, out = 8 * len(kinds), []
     for size, kind in zip(np.frombuffer(raw[:at], np.int64).tolist(), kinds):
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size, at).reshape(width, -1)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
         at += size
     return out
 
 
-BLOCK = ("u8", "u4", "u2", "u2")
+def packed_tokens(words: np.ndarray, counts: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
+    """A block: sorted distinct words, their tokens' number, and each token's context and document."""
+    return packed(np.diff(words, prepend=np.uint64(0)), counts, contexts, np.diff(docs, prepend=np.uint16(0)))
+
+
+def unpacked_tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    words, counts, contexts, docs = unpacked(data, "u8", "u4", "u2", "u2")
+    return np.cumsum(words, dtype=np.uint64), counts, contexts, np.cumsum(docs, dtype=np.uint16)
+
+
 #: Columns of the rows between tasks. A block goes to a shard; a row with a document goes wherever its chunk goes.
 SCHEMA = "shard int, chunk long, train boolean, block binary, doc int, id {id}, n_tokens long"
 COLUMNS = ("shard", "chunk", "train", "block", "doc", "id", "n_tokens")
@@ -124,7 +137,7 @@ class _Chunk:
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(words)]):
             first = np.flatnonzero(np.concatenate([[True], words[a + 1:b] != words[a:b - 1]]))
             counts = np.diff(np.concatenate([first, [b - a]])).astype(np.uint32)
-            yield int(shard[a]), packed(words[a:b][first], counts, contexts[a:b], docs[a:b])
+            yield int(shard[a]), packed_tokens(words[a:b][first], counts, contexts[a:b], docs[a:b])
 
 
 def token_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
