@@ -10,7 +10,8 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressroom.functions.text import compose_text, lower_text, with_clean_text
@@ -453,6 +454,47 @@ def rf_predict(spark, sf_dir):
     return predict(model, docs.select("doc_id", "text")).select("doc_id", "predicted")
 
 
+def lr_shares(spark, sf_dir):
+    """Logistic regression on groups of two columns: its probabilities are the groups' shares."""
+    docs = _table(spark, sf_dir, "documents")
+    third, long = F.col("doc_id") % 3, (F.col("n_chars") > 1500).cast("int")
+    group = (third * 2 + long).cast("int")
+    rows = docs.select(
+        group.alias("group"), (F.col("lang") == "en").cast("double").alias("label"),
+        array_to_vector(F.array(*((group == i).cast("double") for i in range(6)))).alias("features"))
+    model = fit_classifier(
+        rows, "lr", {"regParam": 0.0, "tol": 1e-12, "maxIter": 500, "fitIntercept": False, "standardization": False})
+    scored = model.transform(rows.dropDuplicates(["group"]))
+    return scored.select("group", F.round(vector_to_array("probability")[1], 4).alias("share"), "prediction")
+
+
+def _presence(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    prepared = training.prepare(docs, count_pipeline(binary=True), split=([1.0, 0.0], 1), key="doc_id")
+    text = prepared.text_model.transform(docs).select("doc_id", "features")
+    return prepared, text
+
+
+def _stump(spark, sf_dir, family, params):
+    """One split on the presence of a term, predicted for every document."""
+    prepared, text = _presence(spark, sf_dir)
+    try:
+        model = fit_classifier(prepared.train, family, params, len(prepared.labels))
+    finally:
+        training.release(prepared)
+    named = labels.category_namer(prepared.labels).transform(model.transform(text))
+    return named.select("doc_id", "predicted")
+
+
+def rf_stump(spark, sf_dir):
+    return _stump(spark, sf_dir, "rf", {
+        "numTrees": 1, "bootstrap": False, "maxDepth": 1, "featureSubsetStrategy": "all", "impurity": "gini", "seed": 1})
+
+
+def boosted_stump(spark, sf_dir):
+    return _stump(spark, sf_dir, "boosted", {"rounds": 1, "max_depth": 1})
+
+
 _BOOSTED = {"max_depth": 3, "learning_rate": 0.3, "subsample": 0.8}
 
 
@@ -515,6 +557,26 @@ def cross_validate(spark, sf_dir):
         training.release(prepared)
 
 
+def cross_validate_nb(spark, sf_dir):
+    """Five folds by the hash of the key, naive Bayes over its smoothings."""
+    prepared = training.prepare(_quality(spark, sf_dir), key="doc_id", folds=5)
+    try:
+        found = tune.cross_validate(
+            prepared, {"smoothing": [0.5, 1.0, 2.0]}, folds=5, parallelism=3, family="nb")
+    finally:
+        training.release(prepared)
+    return _rounded(found.folds.select("trial", "params", "f1"), "f1")
+
+
+def train_job(spark, sf_dir):
+    """Store, train from the store, save, load, and predict every document."""
+    docs, path, model = _documents(spark, sf_dir), scratch_path(spark, "store"), scratch_path(spark, "model")
+    append_unseen(docs.select("text", "category"), path)
+    training.train_from_store(spark, path, model, scratch_path(spark, "metrics"), "nb", {"smoothing": 1.0})
+    loaded, _ = training.load(spark, model)
+    return predict(loaded, docs.select("doc_id", "text")).select("doc_id", "predicted")
+
+
 def _nb_counts(spark, sf_dir):
     return _naive_bayes(_quality(spark, sf_dir)).counts
 
@@ -575,6 +637,22 @@ def leaderboard(spark, sf_dir):
     return evaluate.leaderboard(scores)
 
 
+def leaderboard_nb(spark, sf_dir):
+    """Ranks of several naive Bayes settings on one split."""
+    prepared = _prepared_quality(spark, sf_dir)
+    try:
+        scores = {
+            f"{p['modelType']} {p['smoothing']}": evaluate.weighted_metrics(
+                training.local_counts(
+                    fit_classifier(prepared.train, "nb", p, len(prepared.labels)).transform(prepared.test)))
+            for p in _NB_POINTS
+        }
+    finally:
+        training.release(prepared)
+    board = _rounded(evaluate.leaderboard(scores), "score")
+    return board.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "model")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: naive Bayes from raw text to category, on sf0.001."""
     return nb_predict(spark, "/root/testdata/sf0.001")
@@ -620,12 +698,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nb_predict": nb_predict,
         "stream_predict": stream_predict,
         "lr_predict": lr_predict,
+        "lr_shares": lr_shares,
+        "rf_stump": rf_stump,
+        "boosted_stump": boosted_stump,
         "rf_predict": rf_predict,
         "boosted_predict": boosted_predict,
         "param_grid": param_grid,
         "grid_best": grid_best,
         "grid_search": grid_search,
         "cross_validate": cross_validate,
+        "cross_validate_nb": cross_validate_nb,
+        "leaderboard_nb": leaderboard_nb,
+        "train_job": train_job,
         "metrics": metrics,
         "metric_file": metric_file,
         "accuracy": accuracy,
@@ -685,9 +769,12 @@ def _nb_sql(
     train_below: int = 7000,
     smoothing: float = 1.0,
     bernoulli: bool = False,
+    also: str = "",
 ) -> str:
     """Naive Bayes trained on the hash-split part, scored on every document.
 
+    ``also`` narrows the training part.
+
     A Bernoulli model counts a term once per document and also scores the absent terms: the sum
     of their logs is a constant per class, corrected by the terms that are there.
     """
@@ -717,7 +804,7 @@ def _nb_sql(
     tf AS (
       SELECT doc_id, term, {amount if bernoulli else 'n'} AS n FROM all_tf JOIN vocab USING (term)
     ),
-    train AS (SELECT doc_id, category FROM docs WHERE {_DRAW} < {train_below}),
+    train AS (SELECT doc_id, category FROM docs WHERE {_DRAW} < {train_below} {also}),
     prior AS (
       SELECT category,
              ln(count(*) + {s})
@@ -742,9 +829,10 @@ def _nb_sql(
     {select}"""
 
 
-def _held_out_sql(train_below: int = 7000) -> str:
+def _held_out_sql(train_below: int = 7000, where: str = "") -> str:
+    where = where or f"{_DRAW} >= {train_below}"
     return f"""
-    , held AS (SELECT category, predicted FROM nb WHERE {_DRAW} >= {train_below}),
+    , held AS (SELECT category, predicted FROM nb WHERE {where}),
     classes AS (SELECT category AS class FROM held UNION SELECT predicted FROM held),
     scores AS (
       SELECT class,
@@ -845,6 +933,83 @@ def _search_sql() -> str:
     FROM ({trials})"""
 
 
+_FOLD = "(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 7, 6))::BIGINT % 5)"
+
+
+def _folds_sql() -> str:
+    """Mean F1 over five folds of the training part, for three smoothings."""
+    trials = " UNION ALL ".join(
+        "SELECT * FROM (" + _nb_sql(
+            _QUALITY_DOCS,
+            _held_out_sql(where=f"{_DRAW} < 7000 AND {_FOLD} = {fold}")
+            + f""" SELECT {i} AS trial, '{{"smoothing": {s}}}' AS params, f1 FROM weighted""",
+            smoothing=s, also=f"AND {_FOLD} <> {fold}",
+        ) + ")"
+        for i, s in enumerate((0.5, 1.0, 2.0)) for fold in range(5)
+    )
+    return f"SELECT trial, params, round(avg(f1), 6) AS f1 FROM ({trials}) GROUP BY trial, params"
+
+
+# Presence of the 10,000 most frequent terms, and how often each comes with each class.
+_PRESENCE = f"""
+    WITH docs AS ({_LANG_DOCS}),
+    t AS (SELECT doc_id, unnest({_kept(_GAP, FEED_STOP_WORDS)}) AS term FROM docs),
+    vocab AS (
+      SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) AS place
+      FROM t GROUP BY term ORDER BY count(*) DESC, term LIMIT 10000
+    ),
+    tf AS (SELECT DISTINCT doc_id, term FROM t JOIN vocab USING (term)),
+    classes AS (
+      SELECT category, count(*) AS total, row_number() OVER (ORDER BY count(*) DESC, category) AS class
+      FROM docs GROUP BY category
+    ),
+    n AS (SELECT count(*) AS n FROM docs),
+    seen AS (SELECT term, count(*) AS with_term FROM tf GROUP BY term),
+    both_ AS (SELECT term, category, count(*) AS c FROM tf JOIN docs USING (doc_id) GROUP BY term, category),
+    cells AS (
+      SELECT term, place, category, class, total, n, with_term, coalesce(c, 0) AS c
+      FROM vocab CROSS JOIN classes CROSS JOIN n JOIN seen USING (term) LEFT JOIN both_ USING (term, category)
+      WHERE with_term < n
+    )"""
+
+_RF_STUMP = _PRESENCE + """,
+    best AS (
+      SELECT term FROM cells GROUP BY term, place, n, with_term
+      ORDER BY round(sum(c * c) / with_term + sum((total - c) * (total - c)) / (n - with_term), 9) DESC, place LIMIT 1
+    ),
+    leaf AS (
+      SELECT arg_max(category, c * 1000 - class) AS yes, arg_max(category, (total - c) * 1000 - class) AS no
+      FROM cells JOIN best USING (term)
+    )
+    SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM tf JOIN best USING (term)) THEN yes ELSE no END AS predicted
+    FROM docs CROSS JOIN leaf"""
+
+_BOOSTED_STUMP = _PRESENCE + """,
+    split AS (
+      SELECT *, 2 * c - with_term AS s1, 2 * (total - c) - (n - with_term) AS s0 FROM cells
+    ),
+    best AS (
+      SELECT category, class, term, s1 / with_term AS yes, s0 / (n - with_term) AS no FROM split
+      QUALIFY row_number() OVER (
+        PARTITION BY category
+        ORDER BY round(s1 * s1 / with_term + s0 * s0 / (n - with_term), 9) DESC, place) = 1
+    ),
+    margin AS (
+      SELECT doc_id, best.category, class, CASE WHEN tf.doc_id IS NULL THEN no ELSE yes END AS m
+      FROM docs CROSS JOIN best LEFT JOIN tf USING (doc_id, term)
+    )
+    SELECT doc_id, category AS predicted FROM margin
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(m, 9) DESC, class) = 1"""
+
+
+def _leaderboard_sql() -> str:
+    """Accuracy and rank of the points of ``_search_sql``."""
+    return f"""
+    SELECT *, CAST(row_number() OVER (ORDER BY score DESC, model) AS INTEGER) AS rank FROM (
+      SELECT concat(params::JSON ->> '$.modelType', ' ', params::JSON ->> '$.smoothing') AS model, accuracy AS score
+      FROM ({_search_sql()}))"""
+
+
 def _grid_sql() -> str:
     source = """SELECT 'lang' AS target, count(DISTINCT lang) AS n_classes FROM documents
                 UNION ALL SELECT 'quality', count(DISTINCT quality) FROM labels
@@ -995,6 +1160,19 @@ def oracle_sql() -> dict[str, str]:
         "stream_predict": nb_predict_sql,
         "param_grid": _grid_sql(),
         "grid_best": _search_sql(),
+        "cross_validate_nb": _folds_sql(),
+        "leaderboard_nb": _leaderboard_sql(),
+        "lr_shares": """
+            SELECT CAST(doc_id % 3 * 2 + CAST(n_chars > 1500 AS INTEGER) AS INTEGER) AS "group",
+                   round(avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END), 4) AS share,
+                   CASE WHEN avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+                     AS prediction
+            FROM documents GROUP BY 1""",
+        "rf_stump": _RF_STUMP,
+        "boosted_stump": _BOOSTED_STUMP,
+        "train_job": "SELECT d.doc_id, predicted FROM documents d JOIN (" + _nb_sql(
+            "SELECT DISTINCT md5(text) AS doc_id, text, lang AS category FROM documents",
+            "SELECT doc_id, predicted FROM nb") + ") nb ON nb.doc_id = md5(d.text)",
         "metrics": _nb_sql(_QUALITY_DOCS, f"{_HELD_OUT} {_unpivoted()}"),
         "metric_file": _nb_sql(
             _QUALITY_DOCS,

@@ -39,6 +39,11 @@ def hash_part(key: Column, weights: list[float]) -> Column:
     return part
 
 
+def hash_fold(key: Column, folds: int) -> Column:
+    """A fold number from other digits of the key's MD5 than ``hash_part`` reads."""
+    return (F.conv(F.substring(F.md5(key.cast("string")), 7, 6), 16, 10).cast("long") % folds).cast("int")
+
+
 def hash_split(df: DataFrame, key_col: str, weights: list[float]) -> list[DataFrame]:
     """Repeatable parts of ``df`` by a hash of a key column. No row is left out."""
     part = hash_part(F.col(key_col), weights)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pressroom.operators.evaluate import confusion, weighted_metrics
 from pressroom.operators.labels import category_namer
-from pressroom.operators.split import MAIN_SPLIT, hash_split
+from pressroom.operators.split import MAIN_SPLIT, hash_fold, hash_split
 from pressroom.plans.features import count_pipeline, label_pipeline
 from pressroom.plans.models import MAIN_PARAMS, fit_classifier
 from pressroom.session import numbered
@@ -48,6 +48,7 @@ def prepare(
     key: str | None = None,
     fit_on: str = "all",
     label_order: str = "frequency",
+    folds: int | None = None,
 ) -> Prepared:
     """Featurize ``(text, category)`` once and split it.
 
@@ -56,7 +57,7 @@ def prepare(
     again, so they are persisted until ``release``.
 
     Without a key the text itself decides: every copy of a text is on the same side, and a recomputed
-    row is where it was before.
+    row is where it was before. ``folds`` adds a column ``fold`` from the same key.
     """
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
@@ -67,8 +68,9 @@ def prepare(
     text_model = (features or count_pipeline()).fit(seen.select("text"))
     indexer = label_pipeline(label_order).fit(df.select("category"))
     stages = PipelineModel(stages=[*text_model.stages, *indexer.stages])
-    columns = ["features", "label"]
-    featurized = stages.transform(df).select(*columns, key).persist()
+    columns = ["features", "label", *(["fold"] if folds else [])]
+    fold = [hash_fold(F.col(key), folds).alias("fold")] if folds else []
+    featurized = stages.transform(df).select("features", "label", *fold, key).persist()
     train, test = (p.select(*columns) for p in hash_split(featurized, key, split[0]))
     return Prepared(text_model, list(indexer.stages[0].labels), featurized, train, test)
 

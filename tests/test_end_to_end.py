@@ -1,4 +1,5 @@
 import json
+import re
 
 from pressroom.plans.predict import predict, predict_text
 from pressroom.plans.train import load, train_from_store
@@ -55,6 +56,7 @@ def test_every_oracle_has_a_query_and_reads_a_table():
     assert set(oracles) <= set(queries)
     tables = "documents conversations pages events orders labels".split()
     assert all(any(t in sql for t in tables) for sql in oracles.values())
-    assert json.dumps(sorted(set(queries) - set(oracles))) == json.dumps(
+    own = {n for n in queries if not re.match(r"op\d+_|pipeline$", n)}
+    assert json.dumps(sorted(own - set(oracles))) == json.dumps(
         ["boosted_predict", "cross_validate", "grid_search", "leaderboard", "lr_predict", "rf_predict"]
     )
