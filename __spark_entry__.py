@@ -1149,7 +1149,9 @@ def oracle_sql() -> dict[str, str]:
         "category_profile": _first_seen_sql("lang"),
         "category_distinct": f'SELECT category, "categoryId" FROM ({_first_seen_sql("lang")})',
         "split_hash": hash_part,
-        "split_random": "SELECT unnest([0, 1])::INTEGER AS part, true AS disjoint, true AS in_share",
+        "split_random": """
+            SELECT part::INTEGER AS part, count(*) = count(DISTINCT doc_id) AS disjoint, count(*) > 0 AS in_share
+            FROM documents CROSS JOIN (SELECT unnest([0, 1]) AS part) GROUP BY part""",
         "batches": """
             SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 10000 AS batch FROM orders""",
         "batch_bounds": """
