@@ -29,12 +29,11 @@ def _key(fields) -> Column:
 
 
 def with_match_keys(articles: DataFrame) -> DataFrame:
-    """Distinct articles in the wide shape with ``asks`` (one key) and ``match_keys``.
+    """Articles in the wide shape with ``asks`` (one key) and ``match_keys``.
 
-    Rows without any field set are left out. ``distinct`` collapses copies before its shuffle, so
-    a text repeated millions of times reaches the shuffle once per input partition.
+    Rows without any field set are left out. Keys are made in the scan; nothing is shuffled.
     """
-    rows = widen(articles).where(_has_any(ARTICLE_FIELDS)).distinct()
+    rows = widen(articles).where(_has_any(ARTICLE_FIELDS))
     rss, search = _has_any(RSS_FIELDS), _has_any(SEARCH_FIELDS)
     keys = F.array_compact(
         F.array(
@@ -47,24 +46,25 @@ def with_match_keys(articles: DataFrame) -> DataFrame:
     return rows.withColumn("match_keys", keys).withColumn("asks", F.get("match_keys", F.lit(0)))
 
 
-def known_keys(rows: DataFrame, store: DataFrame) -> DataFrame:
-    """The keys asked by ``with_match_keys`` rows that some article already answers to.
+def fresh_keys(rows: DataFrame, store: DataFrame) -> DataFrame:
+    """The distinct keys asked by ``with_match_keys`` rows that no article answers to yet.
 
-    Within a batch, articles with both shapes count as stored before the narrower ones.
-    The store is filtered to the asked keys first: a small batch is broadcast to it by its size,
-    a large one meets it in a shuffle of bare keys. Either way no stored text is read.
+    Within a batch, articles with both shapes count as stored before the narrower ones. Only keys
+    move: copies collapse before the shuffle, and the stored keys are filtered to the asked ones.
     """
-    asked = rows.select("asks")
-    stored_keys = store.select(F.explode("match_keys").alias("asks"))
-    wider = rows.where(F.size("match_keys") > 1).select(
+    keys = rows.select("asks", "match_keys").distinct()
+    asked = keys.select("asks")
+    stored = store.select(F.explode("match_keys").alias("asks")).join(asked, "asks", "left_semi")
+    wider = keys.where(F.size("match_keys") > 1).select(
         F.explode(F.slice("match_keys", 2, 2)).alias("asks")
     )
-    return stored_keys.join(asked, "asks", "left_semi").unionByName(wider).distinct()
+    return asked.join(stored.unionByName(wider), "asks", "left_anti")
 
 
-def unseen(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows whose key is not known, ready to append."""
-    return rows.join(known, "asks", "left_anti").select(*STORED_ARTICLE.fieldNames())
+def unseen(rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """One row for each fresh key, ready to append. Rows that ask for the same key are equal."""
+    survivors = rows.join(fresh, "asks", "left_semi")
+    return survivors.dropDuplicates(["asks"]).select(*STORED_ARTICLE.fieldNames())
 
 
 def append_unseen(articles: DataFrame, store_path: str) -> None:
@@ -74,15 +74,13 @@ def append_unseen(articles: DataFrame, store_path: str) -> None:
     per store: two concurrent batches could both find an article absent. Errors are raised.
     """
     store = open_store(articles.sparkSession, store_path)
-    # Both are used twice, and once computed their sizes are known: the optimizer broadcasts the
-    # asked keys to the store scan and the known keys to the rows if they are small, and shuffles
-    # otherwise.
+    # Once computed, the fresh keys have a size: few of them are broadcast to the rows, whose texts
+    # then stay where they are; only texts that will be written are ever shuffled.
     rows = with_match_keys(articles).persist()
-    known = known_keys(rows, store).persist()
+    fresh = fresh_keys(rows, store).persist()
     try:
-        rows.count()
-        known.count()
-        unseen(rows, known).write.mode("append").parquet(store_path)
+        if fresh.count():
+            unseen(rows, fresh).write.mode("append").parquet(store_path)
     finally:
-        known.unpersist()
+        fresh.unpersist()
         rows.unpersist()

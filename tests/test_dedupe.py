@@ -76,13 +76,13 @@ def test_filter_reaches_the_scan(spark, tmp_path):
 
 
 def test_store_text_is_not_read_to_find_known_articles(spark, tmp_path):
-    from pressroom.operators.dedupe import known_keys, unseen, with_match_keys
+    from pressroom.operators.dedupe import fresh_keys, unseen, with_match_keys
     from pressroom.sources.store import open_store
 
     path = str(tmp_path / "store")
     append_unseen(frame(spark, RSS_A), path)
     rows = with_match_keys(frame(spark, RSS_B))
-    plan = unseen(rows, known_keys(rows, open_store(spark, path)))
+    plan = unseen(rows, fresh_keys(rows, open_store(spark, path)))
     scans = [
         line for line in plan._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
