@@ -227,9 +227,10 @@ def message_rejects(spark, sf_dir):
 
 
 def store_scan(spark, sf_dir):
-    return store.matching(
-        _table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), {"lang": "fr"}
-    )
+    """Articles written to a store, and those of one category read back by a filter in its scan."""
+    path = scratch_path(spark, "store")
+    append_unseen(_documents(spark, sf_dir).select("text", "category"), path)
+    return store.scan_store(spark, path, {"category": "fr"}).select("text", "category")
 
 
 def project_fill(spark, sf_dir):
@@ -1112,7 +1113,7 @@ def oracle_sql() -> dict[str, str]:
         "insert_if_absent": """
             SELECT text, lang AS category FROM documents UNION SELECT text, role FROM conversations""",
         "stream_ingest": f"SELECT DISTINCT * FROM ({_MIXED})",
-        "store_scan": "SELECT doc_id, text, lang FROM documents WHERE lang = 'fr'",
+        "store_scan": "SELECT DISTINCT text, lang AS category FROM documents WHERE lang = 'fr'",
         "project_fill": """
             SELECT CASE WHEN doc_id = 0 THEN '' ELSE CAST(doc_id AS VARCHAR) END AS doc_id,
                    coalesce(text, '') AS text, coalesce(lang, '') AS lang,
