@@ -121,8 +121,8 @@ def _signatures(texts: DataFrame) -> DataFrame:
 def runs_for(recall: float = RECALL) -> int:
     """Runs until a pair of the least similarity is found with that probability at the last depth.
 
-    A run keeps such a pair together like a branching process with one child a step on average:
-    of its n-th generation exp(q - 1) is left, beginning from nothing lost.
+    A run keeps such a pair together as a branching process with one child on average survives: if q is
+    the chance to be extinct after some generations, that after one more is exp(q - 1).
     """
     lost = 0.0
     for _ in range(DEPTH):

@@ -161,6 +161,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+#: Bins are numbered within their task; the bits above are the task's.
+_TASK_BITS = 36
 _PLACED = "sequence_id long, offset long, sequence_fill long"
 
 
@@ -177,7 +179,7 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     at = source.columns.index(length)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 36
+        number = TaskContext.get().partitionId() << _TASK_BITS
         for rows in _chunks(batches):
             sizes = rows.column(at).to_numpy().astype(np.int64)
             if rows.column(at).null_count or sizes.min() < 1 or sizes.max() > capacity:
@@ -192,8 +194,7 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     placed = write_and_read(source.mapInArrow(local, schema), "packed")
     moves = _merge(
         placed.where((F.col("offset") == 0) & (F.col("sequence_fill") < capacity * (1 - SLACK)))
-        .select(F.col("sequence_id").alias("item"), F.col("sequence_fill").alias("fill")),
-        placed.rdd.getNumPartitions(), capacity)
+        .select(F.col("sequence_id").alias("item"), F.col("sequence_fill").alias("fill")), capacity)
     if moves is None:
         return placed.drop("sequence_fill")
     moved = moves.select(F.col("item").alias("_item"), F.col("bin").alias("_bin"), F.col("at").alias("_at"))
@@ -204,7 +205,7 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
         (F.col("offset") + F.coalesce("_at", F.lit(0).cast("long"))).alias("offset"))
 
 
-def _merge(opened: DataFrame, groups: int, capacity: int) -> DataFrame | None:
+def _merge(opened: DataFrame, capacity: int) -> DataFrame | None:
     """Rounds over the open bins ``item, fill``: where each ends, as ``item, bin, at``.
 
     Each round has an eighth of the groups of the one before, but never more than ``ROUND_ITEMS``
@@ -223,6 +224,7 @@ def _merge(opened: DataFrame, groups: int, capacity: int) -> DataFrame | None:
             ).to_batches(max_chunksize=65536)
 
     moves, number = None, 0
+    groups = opened.select(F.shiftright("item", _TASK_BITS)).distinct().count()
     while (n := opened.count()) > 1:
         number += 1
         before, groups = groups, max(-(-groups // FAN_IN), -(-n // ROUND_ITEMS))
