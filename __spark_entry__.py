@@ -48,7 +48,7 @@ def _optional() -> tuple[dict, dict]:
         import corpus_pipeline
         from pressroom.llm import registry
     except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "pressroom.llm"):
+        if missing.name != "corpus_pipeline" and not missing.name.startswith("pressroom.llm"):
             raise
         return {}, {}
     queries = registry.QUERIES | {"pipeline": corpus_pipeline.run}

@@ -29,6 +29,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/pressroom/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete everything written through ``scratch_path``, when no result that reads it is needed."""
+    folder = scratch_path(spark, "").rsplit("/", 1)[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give RDD checkpoints (forests with cached node ids) the shared folder, if none is set."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -26,6 +26,15 @@ def test_write_and_read(spark):
     assert back.columns == ["n"] and back.count() == 10
 
 
+def test_scratch_can_be_cleared(spark, monkeypatch, tmp_path):
+    from pressroom import session
+
+    monkeypatch.setattr(session, "_local_root", lambda: str(tmp_path))
+    write_and_read(spark.range(3), "test")
+    assert [p.name for p in tmp_path.iterdir()] == ["pressroom"]
+    assert session.clear_scratch(spark) and not list(tmp_path.iterdir())
+
+
 def test_numbered_is_local(spark):
     df = numbered(spark, ["a", "b"], "i", "v")
     assert [tuple(r) for r in df.collect()] == [(0, "a"), (1, "b")]
