@@ -29,7 +29,7 @@ def test_write_and_read(spark):
 def test_scratch_can_be_cleared(spark, monkeypatch, tmp_path):
     from pressroom import session
 
-    monkeypatch.setattr(session, "_local_root", lambda: str(tmp_path))
+    monkeypatch.setattr(session, "scratch_path", lambda _, name: f"{tmp_path}/pressroom/{name}-1")
     write_and_read(spark.range(3), "test")
     assert [p.name for p in tmp_path.iterdir()] == ["pressroom"]
     assert session.clear_scratch(spark) and not list(tmp_path.iterdir())
