@@ -154,9 +154,10 @@ def token_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
             for shard, block in chunk.blocks(layout):
                 yield rows([shard], [number], [chunk.train], [block], [None], pa.nulls(1, kind_of_id), [None])
             n = len(chunk.sizes)
+            task, place = divmod(number, 1 << 24)
             yield rows(
-                [number % layout.shards] * n, [number] * n, [chunk.train] * n, [None] * n, list(range(n)),
-                pa.concat_arrays(chunk.ids), chunk.sizes)
+                [(task + place) % layout.shards] * n, [number] * n, [chunk.train] * n, [None] * n,
+                list(range(n)), pa.concat_arrays(chunk.ids), chunk.sizes)
             number += 1
 
         def rows(shard, chunk, train, block, doc, ids, sizes) -> pa.RecordBatch:

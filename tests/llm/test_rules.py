@@ -66,3 +66,8 @@ def test_a_column_named_like_the_ledger_is_replaced(odd):
 
 def test_no_rows(none):
     assert ledger(none).count() == 0 and ablation(ledger(none)).count() == 0
+
+
+def test_the_plan_is_native_and_moves_nothing(odd):
+    plan = rules_query(odd)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Exchange", "Generate"))
