@@ -2,7 +2,8 @@
 
 A text is its set of five-word shingles. The set is embedded in as many min-hashes; a run picks a few
 of them at random and puts texts that agree on one into the same bucket. A bucket that is still large
-is split again on min-hashes picked for it alone; a small one is compared by brute force. A pair of the
+is relieved of the texts like one of its own, which are tied to that one, and is split again on min-hashes
+picked for it alone; a small one is compared by brute force. A pair of the
 wanted similarity meets with a fixed probability per run, and runs are repeated until the recall
 asked for. Buckets only name candidates: connected candidates then meet whole and their sets are
 compared exactly, in blocks, so every link inside them is found and none is guessed.
@@ -154,6 +155,30 @@ def _alike(sketches: list[bytes]) -> np.ndarray:
     return agreed >= 0.6 * COORDINATES
 
 
+def _agreement(own: pa.Array, other: pa.Array) -> pa.Array:
+    """Places in which two sketches agree."""
+    a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(len(x), -1) for x in (own, other))
+    return pa.array((((a ^ b) & 15) == 0).sum(axis=1) + (((a ^ b) >> 4) == 0).sum(axis=1), pa.int64())
+
+
+def _around_hubs(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges of the nodes of large buckets to their bucket's hub, and the rows that are to be split on.
+
+    No further min-hash parts texts that are alike, so those like the hub leave the bucket. What one
+    of them links to is at most 0.4 away from the hub, and has an edge to it in its turn: half of the
+    places are enough for an edge, four fifths for leaving.
+    """
+    hubs = large.groupBy("path").agg(
+        F.min(F.struct(F.xxhash64("node").alias("rank"), "node", "sketch")).alias("hub"))
+    agreed = F.arrow_udf(_agreement, "long")("sketch", "hub.sketch")
+    judged = write_and_read(
+        large.join(hubs, "path").select("path", "node", F.col("hub.node").alias("hub"), agreed.alias("agreed")),
+        "hubs")
+    edges = judged.where((F.col("agreed") >= 0.5 * COORDINATES) & (F.col("node") != F.col("hub")))
+    rest = judged.where((F.col("agreed") < 0.8 * COORDINATES) | (F.col("node") == F.col("hub")))
+    return edges.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), rest.select("path", "node")
+
+
 def candidates(nodes: DataFrame, recall: float = RECALL) -> DataFrame:
     """Edges ``a, b`` between nodes that met in a bucket and look alike; a spanning tree per bucket.
 
@@ -176,6 +201,10 @@ def candidates(nodes: DataFrame, recall: float = RECALL) -> DataFrame:
         large = shared.where(F.col("size") > BUCKET)
         if last or large.isEmpty():
             return found
+        linked, large = _around_hubs(large)
+        found = found.union(linked)
+        if large.isEmpty():
+            return found
         # each node fetches its min-hashes once, however many large buckets it is in
         at = large.groupBy("node").agg(F.collect_list("path").alias("at"))
         again = at.join(nodes, "node").select("node", "sketch", "mins", F.explode("at").alias("at"))

@@ -151,7 +151,7 @@ def fit(labelled: DataFrame) -> Model:
 def _features(model: Model):
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([model.features(text) for text in batch.to_pylist()], pa.list_(pa.float64()))
+            yield pa.array([model.features(text.as_py()) for text in batch], pa.list_(pa.float64()))
 
     return F.arrow_udf(features, "array<double>")
 
@@ -182,7 +182,7 @@ def scorer(docs: DataFrame, model: Model):
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for batch in batches:
-            yield pa.array([model.score(text) for text in batch.to_pylist()], pa.float64())
+            yield pa.array([model.score(text.as_py()) for text in batch], pa.float64())
 
     return F.arrow_udf(score, "double")
 

@@ -101,8 +101,8 @@ def word_counts(path: str):
         known: dict[str, int] = {}
         for batch in batches:
             out = np.zeros((len(batch), 2), np.int64)
-            for row, text in enumerate(batch.to_pylist()):
-                for words in _words(text or ""):
+            for row, text in enumerate(batch):
+                for words in _words(text.as_py() or ""):
                     if len(known) > MEMO_SIZE:
                         known.clear()
                     short = []
