@@ -275,7 +275,8 @@ def similar_texts(
     near = write_and_read(
         clusters.join(nodes.select("node", "copies", "first_id"), "node"), "near")
     # one text for each node that has candidates; its set is made again rather than kept for all
-    chosen = near.select(F.col("first_id").alias("chosen")).distinct()
+    # (a merge join at any size: texts move once, and small runs tell what large ones will cost)
+    chosen = near.select(F.col("first_id").alias("chosen")).distinct().hint("merge")
     sets = _sets(source.join(chosen, F.col("id").eqNullSafe(F.col("chosen")), "left_semi")).groupBy("node").agg(F.first("payload").alias("payload"))
     records = near.join(sets, "node").select(
         F.col("root").alias("group"), "node", F.col("copies").alias("weight"), "payload")
