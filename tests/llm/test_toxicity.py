@@ -5,7 +5,7 @@ import pytest
 from llm_helpers import odd_texts, text
 from pyspark.sql import functions as F
 
-from pressroom.llm.toxicity import Model, fit, learned, tokens, toxicity_query, training_rows, with_toxicity
+from pressroom.llm.toxicity import HALF, THRESHOLD, Model, fit, learned, tokens, toxicity_query, training_rows, with_toxicity
 
 BAD = ["foul", "vile", "rotten", "scumbag"]
 
@@ -79,3 +79,42 @@ def test_a_fit_without_calibration_rows_is_the_share(corpus):
     model = fit(rows)
     assert model.ratios == {} and model.score("foul") == pytest.approx(0.2, abs=1e-6)
     assert isinstance(model, Model)
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    """Labelled texts with many words that chance puts into few of them, mostly toxic ones at times."""
+    rng = random.Random(9)
+
+    def word():
+        return f"w{rng.randrange(rng.choice([200, 30_000]))}"
+
+    rows = []
+    for i in range(900):
+        words = [word() for _ in range(rng.randrange(60, 300))]
+        toxic = int(i % 8 == 0)
+        for _ in range(3 * toxic):
+            words[rng.randrange(len(words))] = rng.choice(BAD)
+        rows.append((i, " ".join(words), toxic))
+    clean = " ".join(word() for _ in range(100_000))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return learned(frame.select("doc_id", "text"), frame.select("doc_id", "toxic")), clean.split()
+
+
+@pytest.mark.parametrize("n", [20_000, 50_000, 100_000])
+def test_long_clean_texts_stay_clean(mixed, n):
+    model, clean = mixed
+    for start in range(0, 100_000, n):
+        assert model.score(" ".join(clean[start:start + n])) < THRESHOLD
+    at = n // 2
+    assert model.score(" ".join([*clean[:at], *BAD, *clean[at:n]])) >= THRESHOLD
+
+
+def test_windows_cover_a_text(mixed):
+    model, clean = mixed
+    for n in (1, HALF, HALF + 1, 5 * HALF - 1, 5 * HALF):
+        for at in (0, n // 2, n - 1):
+            words = ["w1"] * n
+            plain = model.features(" ".join(words))
+            words[at] = "foul"
+            assert all(a > b for a, b in zip(model.features(" ".join(words)), plain))
