@@ -118,3 +118,14 @@ def test_windows_cover_a_text(mixed):
             plain = model.features(" ".join(words))
             words[at] = "foul"
             assert all(a > b for a, b in zip(model.features(" ".join(words)), plain))
+
+
+@pytest.mark.parametrize("phrase", ["zarkblorf", "go zark blorf now"])
+def test_a_repeated_phrase_counts_by_its_texts(spark, phrase):
+    rows = [(i, f"{phrase} {text(i, 60)}" if i % 5 == 0 else text(i, 60), int(i % 5 == 0)) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = learned(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert all(word in model.ratios for word in phrase.split())
+    for i, words, toxic in rows:
+        if held_out(i):
+            assert (model.score(words) >= THRESHOLD) == bool(toxic)
