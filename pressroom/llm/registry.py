@@ -14,6 +14,7 @@ from pressroom.llm.kneser_ney import kneser_ney_query
 from pressroom.llm.p_stable import embedding_query
 from pressroom.llm.packing import packing_query
 from pressroom.llm.pitman_yor import pitman_yor_query
+from pressroom.llm.rendezvous import SHARDS_SQL, shard_query
 from pressroom.llm.rules import RULES_SQL, rules_query
 from pressroom.llm.toxicity import toxicity_query
 from pressroom.llm.urls import url_query
@@ -39,8 +40,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": lambda spark, d: toxicity_query(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_chosen_path_join": _on("documents", chosen_path_query),
     "op10_url_filter": _on("pages", url_query),
+    "op12_rendezvous_shards": _on("documents", shard_query),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": RULES_SQL,
+    "op12_rendezvous_shards": SHARDS_SQL,
 }
