@@ -16,6 +16,7 @@ from pressroom.llm.packing import packing_query
 from pressroom.llm.pitman_yor import pitman_yor_query
 from pressroom.llm.rendezvous import SHARDS_SQL, shard_query
 from pressroom.llm.rules import RULES_SQL, rules_query
+from pressroom.llm.runs import runs_query
 from pressroom.llm.toxicity import toxicity_query
 from pressroom.llm.urls import url_query
 from pressroom.llm.wordpiece import piece_query
@@ -41,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chosen_path_join": _on("documents", chosen_path_query),
     "op10_url_filter": _on("pages", url_query),
     "op12_rendezvous_shards": _on("documents", shard_query),
+    "op13_periodic_runs": _on("documents", runs_query),
 }
 
 ORACLE_SQL: dict[str, str] = {
