@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pressroom.llm.bpe import bpe_query
 from pressroom.llm.chosen_path import chosen_path_query
 from pressroom.llm.common import table
+from pressroom.llm.gnat import HARD_NEGATIVES_SQL, hard_negatives_query
 from pressroom.llm.kneser_ney import kneser_ney_query
 from pressroom.llm.p_stable import embedding_query
 from pressroom.llm.packing import packing_query
@@ -41,11 +42,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": lambda spark, d: toxicity_query(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_chosen_path_join": _on("documents", chosen_path_query),
     "op10_url_filter": _on("pages", url_query),
+    "op11_hard_negatives": _on("embeddings", hard_negatives_query),
     "op12_rendezvous_shards": _on("documents", shard_query),
     "op13_periodic_runs": _on("documents", runs_query),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": RULES_SQL,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
     "op12_rendezvous_shards": SHARDS_SQL,
 }
