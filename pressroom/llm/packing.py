@@ -3,7 +3,8 @@
 Hierarchical residual packing: every task packs what it reads by best fit and is done with bins
 that are nearly full. The others become items themselves, as long as what they hold, and are packed
 again with those of other tasks, in fewer and fewer tasks. An item's place is the sum of the places
-on its way up.
+on its way up. Items are dealt out before the first round, so that a task sees long and short ones
+however they were ordered.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,16 @@ from pressroom.session import write_and_read
 CAPACITY = 2048
 #: A bin with no more room than this part of it is nearly full and is not packed again.
 SLACK = 1 / 256
+#: Pre-tokens encoded as one text; letters up to which a pre-token is remembered when first seen.
+JOINED, AT_ONCE = 256, 16
 #: Rows or bytes that a task packs at once.
 CHUNK_ROWS, CHUNK_BYTES = 1 << 17, 64 << 20
 #: Tasks whose open bins the next round packs together.
 FAN_IN = 8
 #: Open bins that one task of a later round takes at most, so that no round needs one large task.
 ROUND_ITEMS = 200_000
+#: Part of the open bins that a further round of as many groups must close or join to be followed by another.
+LEAST_GAIN = 1 / 1000
 
 
 # --- tokens -----------------------------------------------------------------------------------
@@ -46,10 +52,21 @@ def _memo(path: str) -> tuple[Memo, object]:
     tokenizer = Tokenizer.from_file(path)
 
     def encode(words: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    return Memo(encode), tokenizer
+        """Those of one space and letters, digits or signs stay apart when joined, so they go in lots."""
+        apart = [w[0] == " " and not w[-1].isspace() for w in words]
+        joined = list(compress(words, apart))
+        texts = ["".join(joined[k:k + JOINED]) for k in range(0, len(joined), JOINED)]
+        parts: list[bytes] = []
+        for found in tokenizer.encode_batch(texts, add_special_tokens=False):
+            data = np.array(found.ids, "<u4").tobytes()
+            bounds = (4 * np.flatnonzero(np.diff(found.word_ids)) + 4).tolist()
+            parts += [data[a:b] for a, b in zip([0, *bounds], [*bounds, len(data)])]
+        alone = tokenizer.encode_batch_fast([w for w, a in zip(words, apart) if not a], add_special_tokens=False)
+        others = iter([np.array(x.ids, "<u4").tobytes() for x in alone])
+        lots = iter(parts)
+        return [next(lots) if a else next(others) for a in apart]
+
+    return Memo(encode, AT_ONCE), tokenizer
 
 
 def _token_bytes(path: str, texts: list[str]) -> list[bytes]:
@@ -172,9 +189,10 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     Items are 1 to ``capacity`` long; a null, smaller or larger length is an error. Ids of bins are
     numbers without order. Columns of those two names (and ``sequence_fill``, used on the way) are
     replaced; all others are carried. Repeated rows are items of their own; no item, no bin. The
-    result of each round is a written table, so a lost executor repeats a task and no round.
+    result of each round is a written table, so a lost executor repeats a task and no round. Items are
+    shuffled once with all their columns, so give large ones as numbers to join back.
     """
-    source = items.drop("sequence_id", "offset", "sequence_fill")
+    source = items.drop("sequence_id", "offset", "sequence_fill").hint("rebalance")
     schema = T.StructType([*source.schema.fields, *T._parse_datatype_string(_PLACED).fields])
     at = source.columns.index(length)
 
@@ -209,12 +227,14 @@ def _merge(opened: DataFrame, capacity: int) -> DataFrame | None:
     """Rounds over the open bins ``item, fill``: where each ends, as ``item, bin, at``.
 
     Each round has an eighth of the groups of the one before, but never more than ``ROUND_ITEMS``
-    open bins in a group; it ends when all fit one group, or when fewer groups are not possible.
+    open bins in a group. The last round has one group; where that can't be, groups are drawn anew
+    until a round closes or joins less than a ``LEAST_GAIN`` part of the open bins.
     """
 
     def repack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _chunks(batches):
-            rows = rows.combine_chunks().sort_by("item")
+        held = list(batches)
+        if held:
+            rows = pa.Table.from_batches(held).combine_chunks().sort_by("item")
             ids = rows.column("item").to_numpy()
             sizes = rows.column("fill").to_numpy()
             bins, offsets = best_fit(sizes, capacity)
@@ -223,9 +243,9 @@ def _merge(opened: DataFrame, capacity: int) -> DataFrame | None:
                 {"item": ids, "bin": _first_of(bins, offsets, ids), "at": offsets, "fill": fill}
             ).to_batches(max_chunksize=65536)
 
-    moves, number = None, 0
+    moves, number, n = None, 0, opened.count()
     groups = opened.select(F.shiftright("item", _TASK_BITS)).distinct().count()
-    while (n := opened.count()) > 1:
+    while n > 1:
         number += 1
         before, groups = groups, max(-(-groups // FAN_IN), -(-n // ROUND_ITEMS))
         group = F.pmod(F.xxhash64(F.col("item"), F.lit(number)), F.lit(groups)).alias("group")
@@ -240,10 +260,13 @@ def _merge(opened: DataFrame, capacity: int) -> DataFrame | None:
             moves = moves.join(later, moves["bin"] == later["i2"], "left").select(
                 "item", F.coalesce("b2", "bin").alias("bin"),
                 (F.col("at") + F.coalesce("a2", F.lit(0).cast("long"))).alias("at"))
-        if groups in (1, before):
+        if groups == 1:
             break
         opened = round_.where((F.col("at") == 0) & (F.col("fill") < capacity * (1 - SLACK))).select(
             F.col("bin").alias("item"), "fill")
+        was, n = n, opened.count()
+        if groups >= before and n > was * (1 - LEAST_GAIN):
+            break
     return moves
 
 

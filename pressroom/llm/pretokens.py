@@ -52,11 +52,13 @@ class Memo:
     """Encodes pre-tokens to bytes, those not seen of late all together.
 
     ``encode`` maps a list of distinct pre-tokens to as many bytes objects. A pre-token is remembered
-    from its second sighting on, since most are never seen again.
+    from its second sighting on, since most are never seen again; those of at most ``at_once`` letters
+    are from their first, which pays where encoding costs more than the room.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], at_once: int = 0):
         self.encode = encode
+        self.at_once = at_once
         self.known: dict[str, bytes] = {}
         self.seen = bytearray(1 << 22)
 
@@ -72,6 +74,8 @@ class Memo:
         get = known.__getitem__
         out = [b"".join(b"".join(map(get, words)) for words in text) for text in texts]
         for word in new:
+            if len(word) <= self.at_once:
+                continue
             place = hash(word) & 0x3FFFFF
             if len(word) > MEMO_LENGTH or not seen[place]:
                 seen[place] = 1

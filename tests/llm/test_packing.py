@@ -38,7 +38,15 @@ def places_are_right(rows, capacity):
     return len(by_bin)
 
 
-def test_open_bins_of_many_tasks_are_merged(spark, monkeypatch):
+@pytest.fixture
+def many_tasks(spark):
+    """Small shuffles keep their eight tasks."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_open_bins_of_many_tasks_are_merged(spark, monkeypatch, many_tasks):
     monkeypatch.setattr(packing, "FAN_IN", 2)
     items = spark.range(0, 3000, 1, 16).select("id", (F.pmod(F.xxhash64("id"), F.lit(900)) + 1).alias("length"))
     rows = pack(items, capacity=2048).collect()
@@ -47,6 +55,17 @@ def test_open_bins_of_many_tasks_are_merged(spark, monkeypatch):
     assert places_are_right(rows, 2048) <= total / 2048 * 1.02 + 1
 
 
+@pytest.mark.parametrize("round_items", [200_000, 300])
+def test_items_ordered_by_length(spark, monkeypatch, many_tasks, round_items):
+    """Nearly as few bins as one best fit over all, also where no task may take all open bins."""
+    monkeypatch.setattr(packing, "ROUND_ITEMS", round_items)
+    lengths = np.sort(np.random.default_rng(1).integers(900, 2000, 12_000))
+    items = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "id long, length long").coalesce(1)
+    items = items.repartitionByRange(16, "id")
+    best = best_fit(lengths, 2048)[0].max() + 1
+    assert places_are_right(pack(items, capacity=2048).collect(), 2048) <= best * 1.01
+
+
 def test_many_open_bins_stay_in_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(packing, "ROUND_ITEMS", 50)
     items = spark.range(0, 400, 1, 8).select("id", F.lit(1500).cast("long").alias("length"))
@@ -91,3 +110,14 @@ def test_no_rows(none):
 def test_lengths_out_of_range_are_refused(spark, length):
     with pytest.raises(PythonException, match="lengths must be"):
         pack(spark.createDataFrame([(length,)], "length long"), capacity=10).collect()
+
+
+def test_joined_words_are_cut_where_they_were(monkeypatch):
+    """Words encoded as one text give each its own ids, whatever stands between them."""
+    monkeypatch.setattr(packing, "JOINED", 7)
+    texts = ["plain words, some 12 345 numbers ... and -- signs; it's they'll  two   spaces\n\nlines\t tabs",
+             " ünï çødé 日本 語 😀 😀😀 é\u0301 x\u00a0y z\u2003w \x1c \x1fq \u0085 v", "a b c d e f g h i j k l m n o p q r s t"]
+    tokenizer = Tokenizer.from_file(PATH)
+    got = packing._token_bytes(PATH, texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
