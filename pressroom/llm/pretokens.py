@@ -53,23 +53,29 @@ class Memo:
 
     ``encode`` maps a list of distinct pre-tokens to as many bytes objects. A pre-token is remembered
     from its second sighting on, since most are never seen again; those of at most ``at_once`` letters
-    are from their first, which pays where encoding costs more than the room.
+    are from their first, which pays where encoding costs more than the room. Such a memo, when full,
+    becomes the old one of a new memo that takes over what is met again.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], at_once: int = 0):
         self.encode = encode
         self.at_once = at_once
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.seen = bytearray(1 << 22)
 
     def joined(self, texts: list[list[list[str]]]) -> list[bytes]:
         """For each text, given as its lists of pre-tokens, the bytes of all its pre-tokens."""
         if len(self.known) > MEMO_SIZE:
-            self.known.clear()
+            self.old = self.known if self.at_once else {}
+            self.known = {}
             self.seen = bytearray(1 << 22)
-        known, seen = self.known, self.seen
+        known, seen, old = self.known, self.seen, self.old
         every = set().union(*(words for text in texts for words in text))
         new = sorted(filterfalse(known.__contains__, every))
+        if old:
+            known.update((word, old[word]) for word in new if word in old)
+            new = [word for word in new if word not in old]
         known.update(zip(new, self.encode(new) if new else ()))
         get = known.__getitem__
         out = [b"".join(b"".join(map(get, words)) for words in text) for text in texts]
