@@ -30,7 +30,7 @@ from pressroom.operators.dedupe import append_unseen
 from pressroom.operators.vectors import tfidf_table, vector_terms
 from pressroom.plans import train as training
 from pressroom.plans import tune
-from pressroom.plans.features import COUNT_TERMS, count_pipeline, tfidf_pipeline
+from pressroom.plans.features import COUNT_TERMS, count_pipeline, term_table_pipeline, tfidf_pipeline
 from pressroom.plans.models import MAIN_PARAMS, fit_classifier
 from pressroom.plans.predict import predict
 from pressroom.schemas import SEARCH_FIELDS
@@ -45,8 +45,9 @@ from pressroom.streaming.score import start_scoring
 def _optional() -> tuple[dict, dict]:
     """Queries and SQL of the subpackage and the pipeline, or none where those files are absent."""
     try:
+        from pressroom.llm import registry  # first, as the pipeline is part of it
+
         import corpus_pipeline
-        from pressroom.llm import registry
     except ModuleNotFoundError as missing:
         if missing.name != "corpus_pipeline" and not missing.name.startswith("pressroom.llm"):
             raise
@@ -331,9 +332,10 @@ def tfidf_vectors(spark, sf_dir):
 def tfidf_stages(spark, sf_dir):
     """The model form, over the whole vocabulary."""
     docs = _documents(spark, sf_dir)
-    model = tfidf_pipeline().fit(docs)
-    terms = model.stages[3].vocabulary
-    return vector_terms(model.transform(docs), "features", terms, "doc_id").select(
+    model = term_table_pipeline().fit(docs)
+    entries = model.transform(docs).select("doc_id", F.inline(F.arrays_zip(
+        F.col("features.indices").alias("index"), F.col("features.values").alias("value"))))
+    return entries.join(model.stages[-1].terms(spark), "index").select(
         "doc_id", "term", F.round("value", 6).alias("value")
     )
 
@@ -456,7 +458,10 @@ def rf_predict(spark, sf_dir):
 
 
 def lr_shares(spark, sf_dir):
-    """Logistic regression on groups of two columns: its probabilities are the groups' shares."""
+    """Logistic regression on groups of two columns: its probabilities are the groups' shares.
+
+    Shares are given as rows of the group, so that a tie of decimals can't tell two optima apart.
+    """
     docs = _table(spark, sf_dir, "documents")
     third, long = F.col("doc_id") % 3, (F.col("n_chars") > 1500).cast("int")
     group = (third * 2 + long).cast("int")
@@ -465,8 +470,10 @@ def lr_shares(spark, sf_dir):
         array_to_vector(F.array(*((group == i).cast("double") for i in range(6)))).alias("features"))
     model = fit_classifier(
         rows, "lr", {"regParam": 0.0, "tol": 1e-12, "maxIter": 500, "fitIntercept": False, "standardization": False})
-    scored = model.transform(rows.dropDuplicates(["group"]))
-    return scored.select("group", F.round(vector_to_array("probability")[1], 4).alias("share"), "prediction")
+    sizes = rows.groupBy("group").agg(F.count("*").alias("size"))
+    scored = model.transform(rows.dropDuplicates(["group"])).join(sizes, "group")
+    hits = F.round(vector_to_array("probability")[1] * F.col("size")).cast("long")
+    return scored.select("group", "size", hits.alias("hits"), "prediction")
 
 
 def _presence(spark, sf_dir):
@@ -1167,7 +1174,7 @@ def oracle_sql() -> dict[str, str]:
         "leaderboard_nb": _leaderboard_sql(),
         "lr_shares": """
             SELECT CAST(doc_id % 3 * 2 + CAST(n_chars > 1500 AS INTEGER) AS INTEGER) AS "group",
-                   round(avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END), 4) AS share,
+                   count(*) AS size, count(*) FILTER (lang = 'en') AS hits,
                    CASE WHEN avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
                      AS prediction
             FROM documents GROUP BY 1""",

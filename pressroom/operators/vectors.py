@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressroom.functions.tokens import term_counts
-from pressroom.session import numbered, write_and_read
+from pressroom.operators.split import with_row_index
+from pressroom.session import numbered, scratch_path, write_and_read
 
 # More terms than a model of the library can number.
 _EVERY_TERM = (1 << 31) - 1
@@ -111,27 +112,69 @@ def vector_terms(df: DataFrame, vector_col: str, terms: list[str], *keep: str) -
     return entries.join(names, "index").select(*keep, "term", "value")
 
 
+def document_frequencies(df: DataFrame, tokens_col: str) -> DataFrame:
+    """``(term, df)``: in how many rows each term is, written once."""
+    postings = df.select(F.inline(term_counts(F.col(tokens_col))))
+    return write_and_read(
+        postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-frequencies")
+
+
+def numbered_terms(df: DataFrame, tokens_col: str) -> DataFrame:
+    """``(term, df, index)``: every term with its number in the order of the terms, from 0.
+
+    Terms are dealt to ranges of their order and numbered there, so the vocabulary is in no place
+    whole, however large.
+    """
+    return write_and_read(
+        with_row_index(document_frequencies(df, tokens_col), "term", "index"), "terms")
+
+
 def tfidf_table(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """``(id, term, value)`` TF-IDF over the whole vocabulary, however large.
 
     value = n * (ln((1 + docs) / (1 + df)) + 1), each document scaled to length 1.
+    """
+    frequencies = document_frequencies(df, tokens_col)
+    return _scaled(df, id_col, tokens_col, frequencies, df.count()).select(id_col, "term", "value")
+
 
-    Document frequencies are written once and read back. Terms in more than 1/HOT_TERMS of all
-    postings number fewer than HOT_TERMS, so that part may be broadcast; it takes the heavy
-    terms out of the join on ``term``, whose remaining keys are all small. Hot rows pass the
-    join under a key of their own document, so they spread evenly.
+def tfidf_rows(
+    df: DataFrame, id_col: str, tokens_col: str, terms: DataFrame, docs: int, *keep: str
+) -> DataFrame:
+    """``(id, …keep, indices, values)``: the TF-IDF of each row as two arrays, by term number.
+
+    ``terms`` is a table as ``numbered_terms`` makes it, of these rows or of others; terms that it
+    lacks are left out, as a fitted vocabulary does. Rows without any term have empty arrays. Ids
+    must be distinct; each row's entries meet in one group.
+    """
+    entries = _scaled(df, id_col, tokens_col, terms, docs, "index")
+    pairs = F.sort_array(F.collect_list(F.struct("index", "value")))
+    grouped = entries.groupBy(F.col(id_col).alias("_id")).agg(pairs.alias("_pairs"))
+    rows = df.select(id_col, *keep)
+    joined = rows.join(grouped, rows[id_col].eqNullSafe(grouped["_id"]), "left")
+    return joined.select(
+        id_col, *keep,
+        F.coalesce("_pairs.index", F.array().cast("array<bigint>")).alias("indices"),
+        F.coalesce("_pairs.value", F.array().cast("array<double>")).alias("values"))
+
+
+def _scaled(
+    df: DataFrame, id_col: str, tokens_col: str, frequencies: DataFrame, docs: int, *also: str
+) -> DataFrame:
+    """``(id, term, …also, value)``: weighted postings, by the frequencies and what else they hold.
+
+    Terms in more than 1/HOT_TERMS of all postings number fewer than HOT_TERMS, so that part may be
+    broadcast; it takes the heavy terms out of the join on ``term``, whose remaining keys are all
+    small. Hot rows pass the join under a key of their own document, so they spread evenly.
     """
     postings = df.select(id_col, F.inline(term_counts(F.col(tokens_col))))
-    frequencies = write_and_read(
-        postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "document-frequencies"
-    )
-    docs = df.count()
     total = frequencies.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
     is_hot = F.col("df") * HOT_TERMS > F.lit(total)
+    columns = ("df", *also)
 
-    hot = frequencies.where(is_hot).withColumnRenamed("df", "hot_df")
+    hot = frequencies.where(is_hot).select("term", *(F.col(c).alias(f"hot_{c}") for c in columns))
     cold = frequencies.where(~is_hot).select(
-        F.concat(F.lit("t"), "term").alias("probe"), F.col("df").alias("cold_df")
+        F.concat(F.lit("t"), "term").alias("probe"), *(F.col(c).alias(f"cold_{c}") for c in columns)
     )
     probe = F.when(F.col("hot_df").isNull(), F.concat(F.lit("t"), "term")).otherwise(
         F.concat(F.lit("d"), F.col(id_col).cast("string"))
@@ -140,11 +183,62 @@ def tfidf_table(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
         postings.join(F.broadcast(hot), "term", "left")
         .withColumn("probe", probe)
         .join(cold, "probe", "left")
-        .select(id_col, "term", _weight(F.coalesce("hot_df", "cold_df"), docs).alias("weight"))
+        .select(id_col, "term", *(F.coalesce(f"hot_{c}", f"cold_{c}").alias(c) for c in columns), "n")
+        .where("df IS NOT NULL")
+        .withColumn("weight", _weight(F.col("df"), docs))
     )
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
-    return weighed.select(id_col, "term", (F.col("weight") / norm).alias("value"))
+    return weighed.select(id_col, "term", *also, (F.col("weight") / norm).alias("value"))
 
 
 def _weight(df: Column, docs: int) -> Column:
     return F.col("n") * (F.log((F.lit(1.0) + docs) / (F.lit(1.0) + df)) + 1.0)
+
+
+class TermTable(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """TF-IDF of any vocabulary as a stage: the fitted model names a written table of numbered terms.
+
+    ``transform`` adds ``outputCol``, a struct of ``indices`` and ``values`` (arrays by term number).
+    It joins, so rows need a distinct id, the column ``idCol``. The table lies at ``path``, or in
+    the scratch folder where none is given; a model that is to be kept needs a path to keep.
+    """
+
+    idCol = Param(Params._dummy(), "idCol", "column of distinct row ids", typeConverter=TypeConverters.toString)
+    path = Param(Params._dummy(), "path", "where the terms are written", typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, idCol=None, path=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> TermTableModel:
+        spark = dataset.sparkSession
+        path = self.getOrDefault(self.path) if self.isSet(self.path) else scratch_path(spark, "term-table")
+        numbered_terms(dataset, self.getInputCol()).write.mode("overwrite").parquet(path)
+        return TermTableModel(
+            inputCol=self.getInputCol(), outputCol=self.getOutputCol(),
+            idCol=self.getOrDefault(self.idCol), path=path, docs=dataset.count())
+
+
+class TermTableModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """What ``TermTable`` fits: where the terms are, and how many rows they come from."""
+
+    idCol, path = TermTable.idCol, TermTable.path
+    docs = Param(Params._dummy(), "docs", "rows fitted on", typeConverter=TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, idCol=None, path=None, docs=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def terms(self, spark: SparkSession) -> DataFrame:
+        """``(term, df, index)`` of the fitted vocabulary."""
+        return spark.read.schema("term string, df long, index long").parquet(self.getOrDefault(self.path))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        key = self.getOrDefault(self.idCol)
+        rows = tfidf_rows(
+            dataset.select(key, self.getInputCol()), key, self.getInputCol(),
+            self.terms(dataset.sparkSession), self.getOrDefault(self.docs))
+        rows = rows.select(F.col(key).alias("_row"), F.struct("indices", "values").alias(self.getOutputCol()))
+        return dataset.join(rows, dataset[key].eqNullSafe(rows["_row"])).drop("_row")

@@ -13,7 +13,7 @@ from pressroom.functions.tokens import (
     stop_word_remover,
 )
 from pressroom.operators.labels import alphabetical_indexer, frequency_indexer
-from pressroom.operators.vectors import SmoothIdfScaler, VocabularyVectorizer
+from pressroom.operators.vectors import SmoothIdfScaler, TermTable, VocabularyVectorizer
 
 # Fixed value: terms in the count vocabulary.
 COUNT_TERMS = 10_000
@@ -56,6 +56,25 @@ def tfidf_pipeline(
     )
 
 
+def term_table_pipeline(
+    stop_words: list[str] = ENGLISH_STOP_WORDS, id_col: str = "doc_id", path: str | None = None
+) -> Pipeline:
+    """Match tokens, stop words, TF-IDF over a written table of all terms.
+
+    The same numbers as ``tfidf_pipeline`` without any node holding the vocabulary; ``features`` is a
+    struct of ``indices`` and ``values``, for boosting and for tables rather than for the library's
+    models, whose coefficients are dense.
+    """
+    return Pipeline(
+        stages=[
+            _fill_text(),
+            match_tokenizer("filled_text"),
+            stop_word_remover(stop_words),
+            TermTable(inputCol="filtered", outputCol="features", idCol=id_col, path=path),
+        ]
+    )
+
+
 def label_pipeline(order: str = "frequency") -> Pipeline:
     """Category to label, by frequency or alphabetically. Apart from the text stages, since
     unlabelled text passes only through those."""
