@@ -28,9 +28,10 @@ from pressroom.operators import evaluate, labels, profile, split
 from pressroom.operators.combine import union_mixed, union_sources
 from pressroom.operators.dedupe import append_unseen
 from pressroom.operators.vectors import tfidf_table, vector_terms
+from pressroom.plans import boosting, tune
 from pressroom.plans import train as training
-from pressroom.plans import tune
-from pressroom.plans.features import COUNT_TERMS, count_pipeline, term_table_pipeline, tfidf_pipeline
+from pressroom.plans.boosted_text import train_boosted_text, training_rows
+from pressroom.plans.features import count_pipeline, term_table_pipeline
 from pressroom.plans.models import MAIN_PARAMS, fit_classifier
 from pressroom.plans.predict import predict
 from pressroom.schemas import SEARCH_FIELDS
@@ -507,12 +508,32 @@ _BOOSTED = {"max_depth": 3, "learning_rate": 0.3, "subsample": 0.8}
 
 
 def boosted_predict(spark, sf_dir):
+    """Softmax boosting over the whole TF-IDF vocabulary, in batches of the reference's size."""
     docs = _documents(spark, sf_dir)
-    model = training.train(
-        docs, "boosted", _BOOSTED, features=tfidf_pipeline(vocab_size=COUNT_TERMS),
-        key="doc_id", split=split.BOOSTED_SPLIT, label_order="alphabetical",
-    ).model
-    return predict(model, docs.select("doc_id", "text")).select("doc_id", "predicted")
+    model, _ = train_boosted_text(docs, "doc_id", settings=boosting.Settings(**_BOOSTED))
+    return model.predict(docs.select("doc_id", "text")).select("doc_id", "predicted")
+
+
+def _softmax(spark, sf_dir, depth):
+    """The first round on all documents: each class's tree, splits by term and leaves by weight."""
+    docs = _documents(spark, sf_dir)
+    text_model, names, rows = training_rows(docs, "doc_id")
+    booster = boosting.boost(
+        rows, boosting.Booster(len(names)), 1, boosting.Settings(max_depth=depth))
+    nodes = boosting.model_table(spark, booster)
+    terms = text_model.stages[-1].terms(spark).select("term", F.col("index").alias("feature"))
+    categories = F.get(F.array(*(F.lit(n) for n in names)), F.col("class"))
+    return nodes.join(terms, "feature", "left").select(
+        categories.alias("category"), "node", "term", "bin", "absent_left",
+        F.round("gain", 6).alias("gain"), F.round("weight", 6).alias("weight"))
+
+
+def softmax_stump(spark, sf_dir):
+    return _softmax(spark, sf_dir, 1)
+
+
+def softmax_tree(spark, sf_dir):
+    return _softmax(spark, sf_dir, 2)
 
 
 def param_grid(spark, sf_dir):
@@ -619,7 +640,7 @@ def class_report(spark, sf_dir):
 
 
 def leaderboard(spark, sf_dir):
-    """Accuracy of the four families on one split of the same features."""
+    """Accuracy of the four families on one split; boosting has its own features, the whole TF-IDF."""
     prepared = training.prepare(
         _documents(spark, sf_dir), count_pipeline(FULL_STOP_WORDS),
         split=split.TUNED_SPLIT, key="doc_id",
@@ -628,7 +649,6 @@ def leaderboard(spark, sf_dir):
         "LRModel": ("lr", MAIN_PARAMS),
         "NBModel": ("nb", {}),
         "RFCModel": ("rf", {"numTrees": 10, "maxDepth": 5, "seed": 42}),
-        "BoostedModel": ("boosted", _BOOSTED),
     }
     try:
         scores = {
@@ -642,7 +662,9 @@ def leaderboard(spark, sf_dir):
         }
     finally:
         training.release(prepared)
-    return evaluate.leaderboard(scores)
+    _, counts = train_boosted_text(
+        _documents(spark, sf_dir), "doc_id", settings=boosting.Settings(**_BOOSTED), split=split.TUNED_SPLIT)
+    return evaluate.leaderboard(scores | {"BoostedModel": evaluate.weighted_metrics(counts)})
 
 
 def leaderboard_nb(spark, sf_dir):
@@ -711,6 +733,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "boosted_stump": boosted_stump,
         "rf_predict": rf_predict,
         "boosted_predict": boosted_predict,
+        "softmax_stump": softmax_stump,
+        "softmax_tree": softmax_tree,
         "param_grid": param_grid,
         "grid_best": grid_best,
         "grid_search": grid_search,
@@ -763,6 +787,59 @@ def _tfidf_sql(terms: str = "") -> str:
            round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)), 6) AS value
     FROM w"""
 
+
+
+def _softmax_sql(depth: int) -> str:
+    """The first round of softmax boosting: a tree per language, by the same whole-number gradients."""
+    edges = ", ".join(f"{e!r}::DOUBLE" for e in boosting.TFIDF_EDGES)
+    part = lambda g, h: f"(({g})::DOUBLE / {one}) * (({g})::DOUBLE / {one}) / (({h})::DOUBLE / {one} + 1.0::DOUBLE)"
+    one = f"{boosting.SCALE}::DOUBLE"
+    gain = f"{part('lg', 'lh')} + {part('tg - lg', 'th - lh')} - {part('tg', 'th')}"
+    levels = ""
+    for i in range(depth):
+        levels += f"""
+    tot{i} AS (SELECT class, node, sum(g) AS tg, sum(h) AS th FROM state{i} GROUP BY ALL),
+    hist{i} AS (
+      SELECT class, node, term, bin, sum(g) AS g, sum(h) AS h FROM state{i} JOIN bins USING (doc_id) GROUP BY ALL
+    ), cum{i} AS (
+      SELECT class, node, term, bin, sum(g) OVER w AS g, sum(h) OVER w AS h,
+        sum(g) OVER (PARTITION BY class, node, term) AS fg, sum(h) OVER (PARTITION BY class, node, term) AS fh
+      FROM hist{i} WINDOW w AS (PARTITION BY class, node, term ORDER BY bin)
+    ), cand{i} AS (
+      SELECT class, node, term, bin, false AS absent_left, g AS lg, h AS lh FROM cum{i}
+      UNION ALL
+      SELECT class, node, term, bin, true, g + tg - fg, h + th - fh FROM cum{i} JOIN tot{i} USING (class, node)
+    ), best{i} AS (
+      SELECT class, node, term, bin, absent_left, {gain} AS gain FROM cand{i} JOIN tot{i} USING (class, node)
+      WHERE lh >= {boosting.SCALE} AND th - lh >= {boosting.SCALE}
+      QUALIFY gain > 1e-6 AND row_number() OVER (PARTITION BY class, node ORDER BY gain DESC, term, bin, absent_left) = 1
+    ), state{i + 1} AS (
+      SELECT s.doc_id, s.class, g, h, 2 * s.node
+        + CASE WHEN (CASE WHEN b.bin IS NULL THEN x.absent_left ELSE b.bin <= x.bin END) THEN 0 ELSE 1 END AS node
+      FROM state{i} s JOIN best{i} x USING (class, node) LEFT JOIN bins b ON b.doc_id = s.doc_id AND b.term = x.term
+    ),"""
+    splits = " UNION ALL ".join(f"SELECT * FROM best{i}" for i in range(depth))
+    totals = " UNION ALL ".join(f"SELECT * FROM tot{i}" for i in range(depth + 1))
+    return f"""
+    WITH v AS ({_tfidf_sql().replace("round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)), 6)", "weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id))")}),
+    bins AS (SELECT doc_id, term, (1 + len(list_filter([{edges}], lambda e: e < value)))::INT AS bin FROM v),
+    langs AS (SELECT DISTINCT lang AS class FROM documents WHERE lang IS NOT NULL),
+    k AS (SELECT 1.0::DOUBLE / count(*) AS p FROM langs),
+    state0 AS (
+      SELECT doc_id, class, round((p - CASE WHEN lang = class THEN 1 ELSE 0 END) * {boosting.SCALE})::BIGINT AS g,
+        round(2 * p * (1 - p) * {boosting.SCALE})::BIGINT AS h, 1 AS node
+      FROM documents, langs, k WHERE lang IS NOT NULL
+    ),{levels}
+    tot{depth} AS (SELECT class, node, sum(g) AS tg, sum(h) AS th FROM state{depth} GROUP BY ALL),
+    splits AS ({splits}), totals AS ({totals})
+    SELECT class AS category, node::INT AS node, term, bin, absent_left, round(gain, 6) AS gain, NULL::DOUBLE AS weight
+    FROM splits
+    UNION ALL
+    SELECT class, node::INT, NULL, NULL, NULL, NULL,
+      round(-0.3::DOUBLE * (tg::DOUBLE / {one}) / (th::DOUBLE / {one} + 1.0::DOUBLE), 6)
+    FROM totals ANTI JOIN splits USING (class, node)"""
+
+
 _DRAW = "(concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 6))::BIGINT % 10000)"
 
 _LANG_DOCS = "SELECT doc_id, text, lang AS category FROM documents"
@@ -1180,6 +1257,8 @@ def oracle_sql() -> dict[str, str]:
             FROM documents GROUP BY 1""",
         "rf_stump": _RF_STUMP,
         "boosted_stump": _BOOSTED_STUMP,
+        "softmax_stump": _softmax_sql(1),
+        "softmax_tree": _softmax_sql(2),
         "train_job": "SELECT d.doc_id, predicted FROM documents d JOIN (" + _nb_sql(
             "SELECT DISTINCT md5(text) AS doc_id, text, lang AS category FROM documents",
             "SELECT doc_id, predicted FROM nb") + ") nb ON nb.doc_id = md5(d.text)",
