@@ -28,7 +28,7 @@ from pressroom.operators import evaluate, labels, profile, split
 from pressroom.operators.combine import union_mixed, union_sources
 from pressroom.operators.dedupe import append_unseen
 from pressroom.operators.vectors import tfidf_table, vector_terms
-from pressroom.plans import boosting, tune
+from pressroom.plans import bayes_counts, boosting, tune
 from pressroom.plans import train as training
 from pressroom.plans.boosted_text import train_boosted_text, training_rows
 from pressroom.plans.features import count_pipeline, term_table_pipeline
@@ -391,6 +391,12 @@ def split_hash(spark, sf_dir):
     )
 
 
+def split_exact(spark, sf_dir):
+    """A fifth of the documents, rounded up, held out."""
+    rest, part = split.exact_split(_documents(spark, sf_dir).select("doc_id"), "doc_id", 0.2)
+    return union_sources(rest.withColumn("part", F.lit(0)), part.withColumn("part", F.lit(1)))
+
+
 def split_random(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang")
     # Which row goes where is up to the partitioning; each part's share and the whole are not.
@@ -597,6 +603,30 @@ def cross_validate_nb(spark, sf_dir):
     return _rounded(found.folds.select("trial", "params", "f1"), "f1")
 
 
+def grid_counts(spark, sf_dir):
+    """The points of ``grid_best`` from one pass of counts and one of scores."""
+    prepared = _prepared_quality(spark, sf_dir)
+    try:
+        trials = _rounded(bayes_counts.search_counts(prepared, _NB_POINTS), "accuracy", "precision", "recall", "f1")
+        rows = trials.orderBy("trial").collect()  # a row per point
+    finally:
+        training.release(prepared)
+    first = max(rows, key=lambda r: (r["f1"], -r["trial"]))["trial"]
+    return spark.createDataFrame(rows, trials.schema).select(
+        "*", F.lit(None).cast("string").alias("error"), (F.col("trial") == first).alias("best"))
+
+
+def folds_counts(spark, sf_dir):
+    """The folds of ``cross_validate_nb`` from one pass of counts and one of scores."""
+    prepared = training.prepare(_quality(spark, sf_dir), key="doc_id", folds=5)
+    try:
+        points = [{"smoothing": s} for s in (0.5, 1.0, 2.0)]
+        found = _rounded(bayes_counts.cross_validate_counts(prepared, points, 5).drop("f1_std"), "f1")
+        return spark.createDataFrame(found.collect(), found.schema)  # a row per point
+    finally:
+        training.release(prepared)
+
+
 def train_job(spark, sf_dir):
     """Store, train from the store, save, load, and predict every document."""
     docs, path, model = _documents(spark, sf_dir), scratch_path(spark, "store"), scratch_path(spark, "model")
@@ -722,6 +752,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_profile": category_profile,
         "category_distinct": category_distinct,
         "split_hash": split_hash,
+        "split_exact": split_exact,
         "split_random": split_random,
         "batches": batches,
         "batch_bounds": batch_bounds,
@@ -740,6 +771,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "grid_search": grid_search,
         "cross_validate": cross_validate,
         "cross_validate_nb": cross_validate_nb,
+        "grid_counts": grid_counts,
+        "folds_counts": folds_counts,
         "leaderboard_nb": leaderboard_nb,
         "train_job": train_job,
         "metrics": metrics,
@@ -1234,6 +1267,11 @@ def oracle_sql() -> dict[str, str]:
         "category_profile": _first_seen_sql("lang"),
         "category_distinct": f'SELECT category, "categoryId" FROM ({_first_seen_sql("lang")})',
         "split_hash": hash_part,
+        "split_exact": """
+            SELECT doc_id, CASE WHEN row_number() OVER (
+              ORDER BY concat('0x', substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT, doc_id)
+              <= (SELECT ceil(count(*) / 5.0) FROM documents) THEN 1 ELSE 0 END AS part
+            FROM documents""",
         "split_random": """
             SELECT part::INTEGER AS part, count(*) = count(DISTINCT doc_id) AS disjoint, count(*) > 0 AS in_share
             FROM documents CROSS JOIN (SELECT unnest([0, 1]) AS part) GROUP BY part""",
@@ -1248,6 +1286,8 @@ def oracle_sql() -> dict[str, str]:
         "param_grid": _grid_sql(),
         "grid_best": _search_sql(),
         "cross_validate_nb": _folds_sql(),
+        "grid_counts": _search_sql(),
+        "folds_counts": _folds_sql(),
         "leaderboard_nb": _leaderboard_sql(),
         "lr_shares": """
             SELECT CAST(doc_id % 3 * 2 + CAST(n_chars > 1500 AS INTEGER) AS INTEGER) AS "group",

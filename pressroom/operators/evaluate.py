@@ -20,23 +20,25 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def class_scores(counts: DataFrame) -> DataFrame:
-    """``(class, precision, recall, f1, support)`` of every class seen or predicted."""
+def class_scores(counts: DataFrame, *by: str) -> DataFrame:
+    """``(…by, class, precision, recall, f1, support)`` of every class seen or predicted."""
     hit = F.col("label") == F.col("prediction")
     as_label = counts.select(
+        *by,
         F.col("label").alias("class"), F.when(hit, F.col("n")).otherwise(0).alias("tp"),
         F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"),
     )
     as_prediction = counts.select(
+        *by,
         F.col("prediction").alias("class"), F.lit(0).cast("long").alias("tp"),
         F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted"),
     )
-    sums = as_label.unionByName(as_prediction).groupBy("class").agg(
+    sums = as_label.unionByName(as_prediction).groupBy(*by, "class").agg(
         F.sum("tp").alias("tp"), F.sum("support").alias("support"),
         F.sum("predicted").alias("predicted"),
     )
     return sums.select(
-        "class", "support", "predicted",
+        *by, "class", "support", "predicted",
         _ratio(F.col("tp"), F.col("predicted")).alias("precision"),
         _ratio(F.col("tp"), F.col("support")).alias("recall"),
         _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"),
@@ -44,14 +46,14 @@ def class_scores(counts: DataFrame) -> DataFrame:
     )
 
 
-def weighted_metrics(counts: DataFrame) -> DataFrame:
-    """One row ``(accuracy, precision, recall, f1)``; the last three weighted by support."""
+def weighted_metrics(counts: DataFrame, *by: str) -> DataFrame:
+    """``(accuracy, precision, recall, f1)``, the last three weighted by support: one row, or one for each ``by``."""
     total = F.sum("support")
 
     def weighted(c: str) -> Column:
         return _ratio(F.sum(F.col(c) * F.col("support")), total)
 
-    return class_scores(counts).agg(
+    return class_scores(counts, *by).groupBy(*by).agg(
         _ratio(F.sum("tp"), total).alias("accuracy"),
         weighted("precision").alias("precision"),
         weighted("recall").alias("recall"),

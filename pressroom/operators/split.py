@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +53,42 @@ def hash_split(df: DataFrame, key_col: str, weights: list[float]) -> list[DataFr
     return [df.where(part == i) for i in range(len(weights))]
 
 
+_BITS, _STEP_BITS = 60, 15
+
+
+def exact_split(df: DataFrame, key_col: str, share: float) -> tuple[DataFrame, DataFrame]:
+    """``(rest, part)`` of ``df``, the part having exactly ``ceil(share * rows)`` rows.
+
+    Those are the rows with the least hashes of their key, so the split is repeatable and no sort or
+    task sees all rows: hashes are counted by their leading bits, and only the rows of the group that
+    holds the cut are counted by further ones. Rows that tie at the cut, which share a key, are
+    numbered in the order of the key and divided. Null is a key like others.
+    """
+    hash_ = F.conv(F.substring(F.md5(F.coalesce(F.col(key_col).cast("string"), F.lit(""))), 1, _BITS // 4), 16, 10)
+    hashed = df.withColumn("_hash", hash_.cast("long"))
+    wanted = ceil(Fraction(str(share)) * hashed.count())
+    if not wanted:
+        return df, df.limit(0)
+    cut, left, group = 0, wanted, hashed.select("_hash")
+    for done in range(_STEP_BITS, _BITS + 1, _STEP_BITS):
+        prefix = F.shiftright("_hash", _BITS - done)
+        counts = group.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)  # at most 2 ** 15 rows
+        at = counts.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") >= left).orderBy("p").first()
+        cut, left = at["p"], left - (at["upto"] - at["n"])
+        if done < _BITS:
+            group = write_and_read(group.where(prefix == cut), "split-group")
+    whole = at["n"] == left
+    below, tied = F.col("_hash") < cut, F.col("_hash") == cut
+    if whole:
+        return hashed.where(~(below | tied)).drop("_hash"), hashed.where(below | tied).drop("_hash")
+    numbered = with_row_index(hashed.where(tied), key_col, "_tie")
+    take = numbered.where(F.col("_tie") < left).drop("_tie")
+    leave = numbered.where(F.col("_tie") >= left).drop("_tie")
+    return (hashed.where(F.col("_hash") > cut).unionByName(leave).drop("_hash"),
+            hashed.where(below).unionByName(take).drop("_hash"))
+
+
 def with_row_index(df: DataFrame, order_col: str, output_col: str = "row_index") -> DataFrame:
     """Number the rows from 0 in the order of a column, nulls first, without one big sort.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -38,13 +39,16 @@ def encode_messages(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts, held, size = [0], 0, 1
-            for i, length in enumerate(pc.binary_length(batch.column(0)).to_pylist()):
-                if held and (held == batch_size or size + length + 1 > max_bytes):
-                    starts.append(i)
-                    held, size = 0, 1
-                held, size = held + 1, size + length + 1
-            starts.append(batch.num_rows)
+            # bytes up to each row, with its comma; a message has one more for its brackets
+            lengths = pc.binary_length(batch.column(0)).to_numpy().astype(np.int64)
+            before = np.append(0, np.cumsum(lengths + 1))
+            starts = [0]
+            while starts[-1] < batch.num_rows:
+                at = starts[-1]
+                fits = int(np.searchsorted(before, before[at] + max_bytes - 1, "right")) - 1
+                starts.append(max(at + 1, min(at + batch_size, fits)))
+            if not batch.num_rows:
+                starts.append(0)
             chunks = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), batch.column(0))
             joined = pc.binary_join_element_wise("[", pc.binary_join(chunks, ","), "]", "")
             yield pa.RecordBatch.from_arrays([joined], ["value"])

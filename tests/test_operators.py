@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import functions as F
 
 from pressroom.operators import evaluate, labels, profile, split, vectors
 
@@ -231,3 +232,22 @@ def test_vocabulary_tokenizes_once(spark):
     shown = plan._jdf.queryExecution().optimizedPlan().toString()
     # the counts are written once; what is left reads them
     assert "UDF(" not in shown, shown
+
+
+def test_exact_split_has_its_size(spark):
+    rows = spark.range(0, 1003, 1, 4).select("id", (F.col("id") % 7).alias("other"))
+    rest, part = split.exact_split(rows, "id", 0.2)
+    taken = {r["id"] for r in part.collect()}
+    assert len(taken) == 201 and rest.count() == 802
+    assert taken.isdisjoint(r["id"] for r in rest.collect())
+    again = split.exact_split(rows.repartition(3), "id", 0.2)[1]
+    assert {r["id"] for r in again.collect()} == taken
+
+
+def test_exact_split_divides_ties(spark):
+    rows = spark.createDataFrame([(5,)] * 90 + [(None,)] * 10, "key long")
+    for share, size in ((0.0, 0), (0.25, 25), (0.95, 95), (1.0, 100)):
+        rest, part = split.exact_split(rows, "key", share)
+        assert (part.count(), rest.count()) == (size, 100 - size)
+    rest, part = split.exact_split(rows.limit(0), "key", 0.2)
+    assert part.count() == rest.count() == 0
