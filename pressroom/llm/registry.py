@@ -16,7 +16,7 @@ from pressroom.llm.p_stable import embedding_query
 from pressroom.llm.packing import packing_query
 from pressroom.llm.pitman_yor import pitman_yor_query
 from pressroom.llm.rendezvous import SHARDS_SQL, shard_query
-from pressroom.llm.rules import RULES_SQL, rules_query
+from pressroom.llm.rules import ABLATION_SQL, RULES_SQL, ablation_query, rules_query
 from pressroom.llm.runs import runs_query
 from pressroom.llm.toxicity import toxicity_query
 from pressroom.llm.urls import url_query
@@ -43,12 +43,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chosen_path_join": _on("documents", chosen_path_query),
     "op10_url_filter": _on("pages", url_query),
     "op11_hard_negatives": _on("embeddings", hard_negatives_query),
+    "rules_ablation": _on("documents", ablation_query),
     "op12_rendezvous_shards": _on("documents", shard_query),
     "op13_periodic_runs": _on("documents", runs_query),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": RULES_SQL,
+    "rules_ablation": ABLATION_SQL,
     "op11_hard_negatives": HARD_NEGATIVES_SQL,
     "op12_rendezvous_shards": SHARDS_SQL,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressroom.llm.common import SPACES, WORD, let
+from pressroom.session import write_and_read
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -180,6 +181,12 @@ def rules_query(docs: DataFrame) -> DataFrame:
         F.col("rule_failures").alias("failures"))
 
 
+def ablation_query(docs: DataFrame) -> DataFrame:
+    """What each rule of version 1 fails and what it alone rejects, from a written ledger without texts."""
+    judged = ledger(docs.select("doc_id", "text")).drop("text")
+    return ablation(write_and_read(judged, "ledger"), 1)
+
+
 RULES_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
@@ -217,3 +224,11 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   failures & 3 <> 0 AS base_failed, failures & 127 = 0 AS kept, failures::BIGINT AS failures
 FROM f
 """
+
+ABLATION_SQL = f"""
+WITH judged AS ({RULES_SQL}),
+rules AS (SELECT unnest({[r.name for r in RULES if r.name in POLICIES[1]]}) AS rule,
+  unnest({[1 << i for i, r in enumerate(RULES) if r.name in POLICIES[1]]}) AS bit)
+SELECT rule, count(*) FILTER (failures & bit <> 0) AS failed, count(*) FILTER (failures & {mask(POLICIES[1])} = bit) AS alone
+FROM rules, (SELECT failures, count(*) OVER () FROM judged WHERE failures & {mask(POLICIES[1])} <> 0) GROUP BY rule
+"""

@@ -173,13 +173,17 @@ def filter_urls(pages: DataFrame, counts: DataFrame, url: str = "url") -> DataFr
     host, path = host_path(F.col(url))
     parsed = pages.select(
         F.struct(*pages.columns).alias("_all"), host.alias("_host"), path.alias("_path"))
-    tokens = url_tokens(parsed, counts)
+    # both are read twice: the markup behind the counts for a total, the tokens for their weights
+    tokens = write_and_read(url_tokens(parsed, write_and_read(counts, "url-words")), "url-tokens")
     weights = pages.sparkSession.sparkContext.broadcast(bayes(tokens))
 
     def score(features: pa.Array) -> pa.Array:
-        bounds = features.offsets.to_numpy()
-        sums = np.concatenate([[0.0], np.cumsum(weights.value[features.values.to_numpy()])])
-        return pa.array(sums[bounds[1:]] - sums[bounds[:-1]])
+        lengths = features.value_lengths().to_numpy()
+        sums, has = np.zeros(len(features)), lengths > 0
+        if has.any():  # each row's own sum, whatever its neighbours are
+            starts = (np.cumsum(lengths) - lengths)[has]
+            sums[has] = np.add.reduceat(weights.value[features.flatten().to_numpy()], starts)
+        return pa.array(sums)
 
     hashed = F.transform("_tokens", lambda t: F.pmod(F.xxhash64(t), F.lit(FEATURES)).cast("int"))
     scored = tokens.withColumn("_score", F.arrow_udf(score, "double")(hashed))
