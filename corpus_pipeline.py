@@ -29,8 +29,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass version 1 of the rules' policy; null and empty texts don't."""
-    return apply_policy(ledger(docs))
+    """Documents that pass version 1 of the rules' policy; null and empty texts don't.
+
+    The ledger is written first, so that another policy needs no second look at the texts.
+    """
+    return apply_policy(write_and_read(ledger(docs), "ledger"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
