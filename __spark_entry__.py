@@ -38,6 +38,7 @@ from pressroom.schemas import SEARCH_FIELDS
 from pressroom.session import scratch_path
 from pressroom.sources import catalog, feeds, messages, requests, search, store
 from pressroom.streaming.ingest import start_ingest
+from pressroom.streaming.learn import start_learning, start_scoring_latest
 from pressroom.streaming.score import start_scoring
 
 # --- training-data operators, present only together with their subpackage -------------------------
@@ -448,6 +449,19 @@ def stream_predict(spark, sf_dir):
     return spark.read.schema("doc_id long, predicted string").parquet(out)
 
 
+def nb_stream(spark, sf_dir):
+    """Naive Bayes kept from a stream of documents in several batches, scoring them all at its end."""
+    docs, landed, model = _documents(spark, sf_dir), scratch_path(spark, "landed"), scratch_path(spark, "counts")
+    docs.repartition(4, "doc_id").write.parquet(landed)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    start_learning(stream, model, scratch_path(spark, "checkpoint")).awaitTermination()
+    scored = scratch_path(spark, "scored")
+    start_scoring_latest(
+        spark.readStream.schema(docs.schema).parquet(landed).select("doc_id", "text"), "doc_id", model, scored,
+        scratch_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema("doc_id long, predicted string").parquet(f"{scored}/*").select("doc_id", "predicted")
+
+
 def lr_predict(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     model = training.train(docs, "lr", key="doc_id").model
@@ -758,6 +772,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_bounds": batch_bounds,
         "nb_predict": nb_predict,
         "stream_predict": stream_predict,
+        "nb_stream": nb_stream,
         "lr_predict": lr_predict,
         "lr_shares": lr_shares,
         "rf_stump": rf_stump,
@@ -1283,6 +1298,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT batch, batch * 10000 AS start_row, least(batch * 10000 + 10000, n) AS end_row FROM b""",
         "nb_predict": nb_predict_sql,
         "stream_predict": nb_predict_sql,
+        "nb_stream": _nb_sql(_LANG_DOCS, "SELECT doc_id, predicted FROM nb", train_below=10_000).replace("LIMIT 10000", ""),
         "param_grid": _grid_sql(),
         "grid_best": _search_sql(),
         "cross_validate_nb": _folds_sql(),

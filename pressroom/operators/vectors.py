@@ -158,35 +158,38 @@ def tfidf_rows(
         F.coalesce("_pairs.value", F.array().cast("array<double>")).alias("values"))
 
 
-def _scaled(
-    df: DataFrame, id_col: str, tokens_col: str, frequencies: DataFrame, docs: int, *also: str
+def with_terms(
+    postings: DataFrame, id_col: str, terms: DataFrame, count_col: str, *columns: str
 ) -> DataFrame:
-    """``(id, term, …also, value)``: weighted postings, by the frequencies and what else they hold.
+    """``postings`` (of ``id_col`` and ``term``) with columns of a table by term; rows of others fall out.
 
-    Terms in more than 1/HOT_TERMS of all postings number fewer than HOT_TERMS, so that part may be
-    broadcast; it takes the heavy terms out of the join on ``term``, whose remaining keys are all
-    small. Hot rows pass the join under a key of their own document, so they spread evenly.
+    ``count_col`` tells how many postings a term has about. Terms in more than 1/HOT_TERMS of all
+    postings number fewer than HOT_TERMS, so that part may be broadcast; it takes the heavy terms out
+    of the join on ``term``, whose remaining keys are all small. Hot rows pass the join under a key of
+    their own document, so they spread evenly.
     """
-    postings = df.select(id_col, F.inline(term_counts(F.col(tokens_col))))
-    total = frequencies.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
-    is_hot = F.col("df") * HOT_TERMS > F.lit(total)
-    columns = ("df", *also)
+    total = terms.agg(F.coalesce(F.sum(count_col), F.lit(0)).alias("n")).first()["n"]
+    is_hot = F.col(count_col) * HOT_TERMS > F.lit(total)
+    hot = terms.where(is_hot).select(
+        "term", F.lit(True).alias("_hot"), *(F.col(c).alias(f"hot_{c}") for c in columns))
+    cold = terms.where(~is_hot).select(
+        F.concat(F.lit("t"), "term").alias("_probe"), F.lit(True).alias("_cold"),
+        *(F.col(c).alias(f"cold_{c}") for c in columns))
+    probe = F.when(F.col("_hot").isNull(), F.concat(F.lit("t"), "term")).otherwise(
+        F.concat(F.lit("d"), F.col(id_col).cast("string")))
+    return (
+        postings.join(F.broadcast(hot), "term", "left").withColumn("_probe", probe)
+        .join(cold, "_probe", "left").where("_hot OR _cold")
+        .select(*postings.columns, *(F.coalesce(f"hot_{c}", f"cold_{c}").alias(c) for c in columns)))
 
-    hot = frequencies.where(is_hot).select("term", *(F.col(c).alias(f"hot_{c}") for c in columns))
-    cold = frequencies.where(~is_hot).select(
-        F.concat(F.lit("t"), "term").alias("probe"), *(F.col(c).alias(f"cold_{c}") for c in columns)
-    )
-    probe = F.when(F.col("hot_df").isNull(), F.concat(F.lit("t"), "term")).otherwise(
-        F.concat(F.lit("d"), F.col(id_col).cast("string"))
-    )
-    weighed = (
-        postings.join(F.broadcast(hot), "term", "left")
-        .withColumn("probe", probe)
-        .join(cold, "probe", "left")
-        .select(id_col, "term", *(F.coalesce(f"hot_{c}", f"cold_{c}").alias(c) for c in columns), "n")
-        .where("df IS NOT NULL")
-        .withColumn("weight", _weight(F.col("df"), docs))
-    )
+
+def _scaled(
+    df: DataFrame, id_col: str, tokens_col: str, frequencies: DataFrame, docs: int, *also: str
+) -> DataFrame:
+    """``(id, term, …also, value)``: weighted postings, by the frequencies and what else they hold."""
+    postings = df.select(id_col, F.inline(term_counts(F.col(tokens_col))))
+    weighed = with_terms(postings, id_col, frequencies, "df", "df", *also).withColumn(
+        "weight", _weight(F.col("df"), docs))
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
     return weighed.select(id_col, "term", *also, (F.col("weight") / norm).alias("value"))
 
