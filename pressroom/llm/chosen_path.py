@@ -208,7 +208,8 @@ def candidates(nodes: DataFrame, recall: float = RECALL) -> DataFrame:
         # each node fetches its min-hashes once, however many large buckets it is in
         at = large.groupBy("node").agg(F.collect_list("path").alias("at"))
         again = at.join(nodes, "node").select("node", "sketch", "mins", F.explode("at").alias("at"))
-        open_ = _split(again, F.col("at")).select("node", "sketch", "path")
+        # read twice, for sizes and for buckets
+        open_ = write_and_read(_split(again, F.col("at")).select("node", "sketch", "path"), "open-paths")
     return found
 
 
