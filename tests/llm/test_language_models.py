@@ -155,3 +155,12 @@ def test_without_trusted_rows_all_are_kept(corpus):
     docs = corpus.withColumn("lang", F.lit("en"))
     labels = docs.select("doc_id", F.lit(0).alias("quality"))
     assert judge_quality(docs, labels).where("kept").count() == docs.count()
+
+
+def test_the_limit_is_a_quantile_of_trusted_texts_not_learned_from(spark, corpus):
+    docs = corpus.where("doc_id IS NOT NULL").withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    rows = [r for r in judge_quality(docs, labels).collect() if r["lang"] == "en"]
+    limit = {r["threshold"] for r in rows}
+    assert len(limit) == 1 and limit <= {r["perplexity"] for r in rows}  # one of the texts' own, not a multiple
+    assert all(r["kept"] == (r["perplexity"] <= r["threshold"]) for r in rows)
