@@ -28,7 +28,7 @@ from pressroom.operators import evaluate, labels, profile, split
 from pressroom.operators.combine import union_mixed, union_sources
 from pressroom.operators.dedupe import append_unseen
 from pressroom.operators.vectors import tfidf_table, vector_terms
-from pressroom.plans import bayes_counts, boosting, tune
+from pressroom.plans import bayes_counts, boosting, forests, tune
 from pressroom.plans import train as training
 from pressroom.plans.boosted_text import train_boosted_text, training_rows
 from pressroom.plans.features import count_pipeline, term_table_pipeline
@@ -36,8 +36,8 @@ from pressroom.plans.models import MAIN_PARAMS, fit_classifier
 from pressroom.plans.predict import predict
 from pressroom.schemas import SEARCH_FIELDS
 from pressroom.session import scratch_path
-from pressroom.sources import catalog, feeds, messages, requests, search, store
-from pressroom.streaming.ingest import start_ingest
+from pressroom.sources import catalog, feeds, ledger, messages, requests, search, store
+from pressroom.streaming.ingest import start_ingest, start_ledger_ingest
 from pressroom.streaming.learn import start_learning, start_scoring_latest
 from pressroom.streaming.score import start_scoring
 
@@ -278,6 +278,31 @@ def stream_ingest(spark, sf_dir):
     return store.scan_store(spark, path)
 
 
+def ledger_ingest(spark, sf_dir):
+    """Documents and broken messages in several batches, and all batches again from a fresh checkpoint."""
+    landed, root = scratch_path(spark, "landed"), scratch_path(spark, "ledger")
+    docs = messages.encode_messages(_documents(spark, sf_dir)).select("value")
+    broken = _table(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    messages.write_message_files(union_sources(docs, broken).repartition(3, "value"), landed)
+    stream = messages.stream_message_files(spark, landed, max_files=1)
+    for _ in range(2):  # the same source, so the second time each number is known
+        start_ledger_ingest(stream, root, scratch_path(spark, "checkpoint")).awaitTermination()
+    stored = ledger.scan_articles(spark, root).select("text", "category", F.lit(None).cast("string").alias("reason"))
+    rejected = ledger.read_rejects(spark, root).groupBy("value", "reason").agg(F.count("*").alias("n"))
+    return union_sources(stored.withColumn("n", F.lit(1).cast("long")), rejected.select(
+        F.col("value").alias("text"), F.lit(None).cast("string").alias("category"), "reason", "n"))
+
+
+def ledger_scan(spark, sf_dir):
+    """Two batches compacted into one, of which a category is read."""
+    root = scratch_path(spark, "ledger")
+    turns = _turns(spark, sf_dir).select("text", F.col("role").alias("category"))
+    for batch, articles in enumerate((_documents(spark, sf_dir).select("text", "category"), turns)):
+        ledger.commit_batch(messages.encode_messages(articles), root, batch)
+    ledger.compact(spark, root)
+    return ledger.scan_articles(spark, root, {"category": "fr"}).select("text", "category")
+
+
 # --- text and features ----------------------------------------------------------------------
 
 
@@ -617,6 +642,24 @@ def cross_validate_nb(spark, sf_dir):
     return _rounded(found.folds.select("trial", "params", "f1"), "f1")
 
 
+# A part of the grid of forests: 384 of its points, which two fits serve.
+_FOREST_PART = {
+    "numTrees": (10, 50), "maxDepth": (3, 4, 5, 10), "minInstancesPerNode": (1,), "maxBins": (32,),
+    "subsamplingRate": (0.8,), "featureSubsetStrategy": ("sqrt",),
+}
+
+
+def forest_search(spark, sf_dir):
+    """Many points of the grid of forests, read off one deep forest for each impurity."""
+    numbered_points = ((t, tune.grid_point(tune.RF_RANGES, t)) for t in range(tune.grid_size(tune.RF_RANGES)))
+    points = [(t, p) for t, p in numbered_points if all(p[k] in v for k, v in _FOREST_PART.items())]
+    prepared = _prepared_quality(spark, sf_dir)
+    try:
+        return forests.search_forests(prepared, points)
+    finally:
+        training.release(prepared)
+
+
 def grid_counts(spark, sf_dir):
     """The points of ``grid_best`` from one pass of counts and one of scores."""
     prepared = _prepared_quality(spark, sf_dir)
@@ -745,6 +788,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "message_roundtrip": message_roundtrip,
         "insert_if_absent": insert_if_absent,
         "stream_ingest": stream_ingest,
+        "ledger_ingest": ledger_ingest,
+        "ledger_scan": ledger_scan,
         "message_rejects": message_rejects,
         "store_scan": store_scan,
         "project_fill": project_fill,
@@ -787,6 +832,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cross_validate": cross_validate,
         "cross_validate_nb": cross_validate_nb,
         "grid_counts": grid_counts,
+        "forest_search": forest_search,
         "folds_counts": folds_counts,
         "leaderboard_nb": leaderboard_nb,
         "train_job": train_job,
@@ -1245,6 +1291,10 @@ def oracle_sql() -> dict[str, str]:
         "insert_if_absent": """
             SELECT text, lang AS category FROM documents UNION SELECT text, role FROM conversations""",
         "stream_ingest": f"SELECT DISTINCT * FROM ({_MIXED})",
+        "ledger_ingest": """
+            SELECT DISTINCT text, lang AS category, CAST(NULL AS VARCHAR) AS reason, 1 AS n FROM documents
+            UNION ALL SELECT props, NULL, 'not a list', count(*) FROM events GROUP BY props""",
+        "ledger_scan": "SELECT DISTINCT text, lang AS category FROM documents WHERE lang = 'fr'",
         "store_scan": "SELECT DISTINCT text, lang AS category FROM documents WHERE lang = 'fr'",
         "project_fill": """
             SELECT CASE WHEN doc_id = 0 THEN '' ELSE CAST(doc_id AS VARCHAR) END AS doc_id,

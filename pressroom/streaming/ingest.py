@@ -1,4 +1,4 @@
-"""Continuous ingest: messages to the store."""
+"""Continuous ingest: messages to the store, or to a store with a ledger."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from pressroom.operators.dedupe import append_unseen
+from pressroom.sources.ledger import commit_batch
 from pressroom.sources.messages import decode_messages
 
 # Fixed value: how often the feeds are read again.
@@ -30,3 +31,21 @@ def start_ingest(
         .trigger(**trigger)
         .start()
     )
+
+
+def start_ledger_ingest(
+    messages: DataFrame, root: str, checkpoint: str, source: str = "main", period: str | None = None
+) -> StreamingQuery:
+    """Commit the batches of a message stream to the ledger store at ``root``: articles and rejects.
+
+    One ``source`` has one checkpoint, since batches are known by their number there; a new checkpoint
+    needs a new source. A batch that is run again after its record was written adds nothing.
+    """
+    trigger = {"processingTime": period} if period else {"availableNow": True}
+    return (
+        messages.writeStream
+        .foreachBatch(lambda df, batch: commit_batch(df, root, batch, source) and None)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
