@@ -9,7 +9,7 @@ by word and context over all shards, so no shard holds more than its share.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import filterfalse
 
@@ -23,8 +23,6 @@ from pyspark.taskcontext import TaskContext
 
 from pressroom.llm.pretokens import MEMO_SIZE, in_slices
 
-#: Context restaurants: the word before, hashed to so many. Bounds what every task knows of contexts.
-CONTEXTS = 1 << 14
 #: Tokens of a chunk, about, and its documents at most.
 CHUNK_TOKENS, CHUNK_DOCUMENTS = 1 << 21, 1 << 16
 #: Characters of text for each shard.
@@ -98,14 +96,22 @@ def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def gaps(ascending: np.ndarray) -> np.ndarray:
+    """Differences, from which ``np.cumsum`` of the same type gives the array again."""
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
 def packed_tokens(words: np.ndarray, counts: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
-    """A block: sorted distinct words, their tokens' number, and each token's context and document."""
-    return packed(np.diff(words, prepend=np.uint64(0)), counts, contexts, np.diff(docs, prepend=np.uint16(0)))
+    """A block: sorted distinct words, their tokens' number, sorted distinct contexts, and each token's
+    place among those and document."""
+    known, place = np.unique(contexts, return_inverse=True)
+    return packed(gaps(words), counts, gaps(known), place.astype(np.uint32), gaps(docs))
 
 
-def unpacked_tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    words, counts, contexts, docs = unpacked(data, "u8", "u4", "u2", "u2")
-    return np.cumsum(words, dtype=np.uint64), counts, contexts, np.cumsum(docs, dtype=np.uint16)
+def unpacked_tokens(data: bytes, words: str = "u8", contexts: str = "u8") -> tuple[np.ndarray, ...]:
+    """Words, counts, contexts, places and documents of a block."""
+    w, counts, known, place, docs = unpacked(data, words, "u4", contexts, "u4", "u2")
+    return (np.cumsum(w, dtype=words), counts, np.cumsum(known, dtype=contexts), place, np.cumsum(docs, dtype=np.uint16))
 
 
 #: Columns of the rows between tasks. A block goes to a shard; a row with a document goes wherever its chunk goes.
@@ -123,11 +129,11 @@ class _Chunk:
         self.sizes: list[int] = []
         self.tokens = 0
 
-    def blocks(self, layout: Layout) -> Iterator[tuple[int, bytes]]:
+    def blocks(self, layout: Layout, numbers: Callable[[np.ndarray], np.ndarray], pack: Callable[..., bytes]) -> Iterator[tuple[int, bytes]]:
         words = np.concatenate(self.words)
         before = np.empty_like(words)
         before[0], before[1:] = END, words[:-1]  # a text follows the end of another
-        contexts = (before % np.uint64(CONTEXTS)).astype(np.uint16)
+        contexts = numbers(before)
         docs = np.repeat(np.arange(len(self.sizes), dtype=np.uint16), self.sizes)
         shard = layout.shard_of(words, contexts)
         order = np.argsort(words, kind="stable")
@@ -137,11 +143,17 @@ class _Chunk:
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(words)]):
             first = np.flatnonzero(np.concatenate([[True], words[a + 1:b] != words[a:b - 1]]))
             counts = np.diff(np.concatenate([first, [b - a]])).astype(np.uint32)
-            yield int(shard[a]), packed_tokens(words[a:b][first], counts, contexts[a:b], docs[a:b])
+            yield int(shard[a]), pack(words[a:b][first], counts, contexts[a:b], docs[a:b])
 
 
-def token_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
-    """Rows of ``SCHEMA`` for documents ``id, text, train``."""
+def token_blocks(
+    docs: DataFrame, layout: Layout, numbers: Callable[[np.ndarray], np.ndarray],
+    pack: Callable[..., bytes] = packed_tokens,
+) -> DataFrame:
+    """Rows of ``SCHEMA`` for documents ``id, text, train``.
+
+    ``numbers`` gives the contexts for the hashes of the words before, ``pack`` the bytes of a block.
+    """
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +163,7 @@ def token_blocks(docs: DataFrame, layout: Layout) -> DataFrame:
 
         def sent(chunk: _Chunk) -> Iterator[pa.RecordBatch]:
             nonlocal number
-            for shard, block in chunk.blocks(layout):
+            for shard, block in chunk.blocks(layout, numbers, pack):
                 yield rows([shard], [number], [chunk.train], [block], [None], pa.nulls(1, kind_of_id), [None])
             n = len(chunk.sizes)
             task, place = divmod(number, 1 << 24)

@@ -58,29 +58,112 @@ def test_base_scores_are_exact(corpus, dealt, monkeypatch):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
-def test_model_of_a_shard_sums_to_one():
-    words = np.sort(np.array([shards._hash(w) for w in (b"a", b"b", b"c", b"d", b"\n")], np.uint64))
-    layout = Layout(1)
-    pairs = np.array([0 << 14 | 3, 0 << 14 | 7, 1 << 14 | 3, 2 << 14 | 3, 3 << 14 | 9, 4 << 14 | 7], np.int64)
-    shard = pitman_yor.Shard(0, words, pairs, np.array([5, 1, 40, 200, 2, 1]), layout)
-    history = []
-    for number in range(pitman_yor.BURN_IN + pitman_yor.SAMPLES + 1):
-        slots, values = shard.shared(0)
-        dense = np.zeros(2 * shards.CONTEXTS + 4, np.int64)
-        dense[slots] = values
-        history.append(pitman_yor.Totals(
-            dense[:shards.CONTEXTS], dense[shards.CONTEXTS:-4], np.zeros(0, np.int64), np.zeros(0, np.int64),
-            np.zeros(0, np.int64), *(int(x) for x in dense[-4:])))
-        if number < pitman_yor.BURN_IN + pitman_yor.SAMPLES:
-            shard.sweep(number, history[-1])
-    averaged = pitman_yor._Averaged(pitman_yor.Shard(0, words, pairs, np.array([5, 1, 40, 200, 2, 1]), layout), history)
-    assert (averaged.shard.tables == shard.tables).all()  # the replay is the same chain
-    for context in (3, 7, 9, 11):
-        every = averaged.probability(np.arange(5), np.full(5, context))
-        last = [(pitman_yor.STRENGTH + pitman_yor.DISCOUNT * t.tables[context]) * pitman_yor._root_weight(t)
-                / (pitman_yor.ROOT_STRENGTH + t.root_customers) for t in averaged.kept]
-        unknown = np.mean(last) / (pitman_yor.STRENGTH + averaged.kept[0].customers[context])
-        assert every.sum() + unknown == pytest.approx(1, abs=1e-9) and (every > 0).all()
+def plain_scores(texts, layout):
+    """The model in plain dicts, with the draws of the shards: scores of ``(key, text, train)``, and a function
+    giving the mean probability of a word after another."""
+    sequences = {key: [shards._hash(w.encode()) if w else END for w in tokens(t)] for key, t, _ in texts}
+    bigrams = {key: list(zip([END, *s], s)) for key, s in sequences.items()}
+    counts = Counter(p for key, _, train in texts if train for p in bigrams[key])
+    words = {w for _, w in counts}
+    hot = set(layout.hot.tolist())
+
+    def shard_of(before, word):
+        one = np.array([word], np.uint64), np.array([before >> 16], np.uint64)
+        return int(layout.shard_of(*one)[0])
+
+    places = {}
+    for before, word in counts:
+        places.setdefault(shard_of(before, word), []).append((word, before))
+    seen = {}  # a shard's words, with those of texts that aren't learned from
+    for s in bigrams.values():
+        for before, word in s:
+            seen.setdefault(shard_of(before, word), set()).add(word)
+    tables = dict.fromkeys(counts, 1)
+    own_customers = {(n, w): sum(1 for x, _ in p if x == w) for n, p in places.items() for w in {x for x, _ in p}}
+    own_tables = dict.fromkeys(own_customers, 1)
+    hot_tables = None
+    kept = []
+    for sweep in range(pitman_yor.SWEEPS + 1):
+        customers, root_tables = Counter(), Counter()
+        for (n, w), c in own_customers.items():
+            customers[w] += c
+            root_tables[w] += 0 if w in hot else own_tables[n, w]
+        hot_customers = np.array([customers[w] for w in layout.hot.tolist()])
+        if sweep == 0:
+            hot_tables = (hot_customers > 0).astype(int)
+        else:
+            hot_tables = seat(
+                hot_customers, np.full(len(hot_customers), base), pitman_yor.ROOT_DISCOUNT, np.random.default_rng(sweep))
+        root_tables.update(dict(zip(layout.hot.tolist(), hot_tables.tolist())))
+        base = (pitman_yor.ROOT_STRENGTH + pitman_yor.ROOT_DISCOUNT * sum(root_tables.values())) / (len(words) + 1)
+        all_customers = sum(customers.values())
+        of_context = Counter()
+        for (before, _), t in tables.items():
+            of_context[before] += t
+
+        def root(w, customers=customers, root_tables=root_tables, base=base, n=all_customers):
+            top = customers[w] - pitman_yor.ROOT_DISCOUNT * root_tables[w] + base
+            return top / (pitman_yor.ROOT_STRENGTH + n)
+
+        if sweep > pitman_yor.BURN_IN:
+            kept.append((dict(tables), of_context, root))
+        if sweep == pitman_yor.SWEEPS:
+            break
+        drawn = {}
+        for n, there in seen.items():
+            rng = np.random.default_rng((sweep, n))
+            pairs = sorted(places.get(n, []))
+            weight = [(pitman_yor.STRENGTH + pitman_yor.DISCOUNT * of_context[b]) * root(w) for w, b in pairs]
+            t = seat(np.array([counts[b, w] for w, b in pairs], int), np.array(weight), pitman_yor.DISCOUNT, rng)
+            drawn.update({(b, w): int(x) for (w, b), x in zip(pairs, t)})
+            mine = sorted(there)
+            c = [sum(drawn[b, w] for x, b in pairs if x == w) for w in mine]
+            t = seat(np.array(c), np.full(len(c), base), pitman_yor.ROOT_DISCOUNT, rng)
+            for w, x, y in zip(mine, c, t.tolist()):
+                if x:
+                    own_customers[n, w], own_tables[n, w] = x, y
+        tables = drawn
+    followers = Counter()
+    for (before, _), c in counts.items():
+        followers[before] += c
+
+    def probability(before, word):
+        mean = 0
+        for t, of_context, root in kept:
+            own = counts[before, word] - pitman_yor.DISCOUNT * t.get((before, word), 0)
+            mean += own + (pitman_yor.STRENGTH + pitman_yor.DISCOUNT * of_context[before]) * root(word)
+        return mean / len(kept) / (pitman_yor.STRENGTH + followers[before])
+
+    return {key: sum(math.log10(probability(*p)) for p in s) for key, s in bigrams.items()}, probability, words
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_scores_equal_plain_seating(corpus, dealt, monkeypatch):
+    """The same draws in dicts keyed by the words themselves, in one shard and in five with hot words."""
+    layout = Layout(1, np.array([END], np.uint64))
+    if dealt:
+        many_shards(monkeypatch, pitman_yor)
+        layout = pitman_yor.layout_for(None)
+    else:
+        monkeypatch.setattr(pitman_yor, "layout_for", lambda _: layout)
+    rows = [(i, r["doc_id"], r["text"]) for i, r in enumerate(corpus.where("doc_id % 2 = 0 or doc_id is null").collect())]
+    texts = [(i, t, k is not None and zlib.crc32(str(k).encode()) % 7 != 2) for i, k, t in rows]
+    frame = corpus.sparkSession.createDataFrame(texts, "doc_id long, text string, learn boolean").repartition(2)
+    expected, probability, words = plain_scores(texts, layout)
+    for r in score_texts(frame, "learn").collect():
+        assert r["score"] == pytest.approx(expected[r["doc_id"]], rel=1e-9)
+    for before in [END, *sorted(words)[:3], 12345]:  # an unknown word takes one part of the base
+        assert sum(probability(before, w) for w in words) + probability(before, 54321) == pytest.approx(1, abs=1e-9)
+
+
+def test_contexts_have_restaurants_of_their_own():
+    """However many contexts there are, and each owner has a range of them."""
+    hashes = np.random.default_rng(3).integers(0, 1 << 64, 300_000, np.uint64)
+    contexts = np.unique(pitman_yor.contexts_of(hashes))
+    assert len(contexts) == len(np.unique(hashes))
+    owners = pitman_yor.owners_of(contexts, 37)
+    assert (np.diff(owners) >= 0).all() and set(owners.tolist()) == set(range(37))
+    assert np.bincount(owners).max() < 1.1 * 300_000 / 37
 
 
 def test_seating():
@@ -115,7 +198,7 @@ def test_kneser_ney_sums_to_one():
     model = kneser_ney.Shard(blocks, layout)
     sums = model.shared(0)
     totals = kneser_ney.Totals(
-        sums[:4 * shards.CONTEXTS].reshape(4, shards.CONTEXTS), np.array([0, 0.6, 0.9, 1.2]), np.array([0, 0.5, 0.7, 0.9]),
+        sums[:4 * kneser_ney.CONTEXTS].reshape(4, kneser_ney.CONTEXTS), np.array([0, 0.6, 0.9, 1.2]), np.array([0, 0.5, 0.7, 0.9]),
         np.array([sums[-6], sums[-5], sums[-2]]), int(sums[-1]), 4, np.zeros(0, np.int64))
     for context in (1, 2, 3, 9):
         asked = np.append(words, np.uint64(12345))
