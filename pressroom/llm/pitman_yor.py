@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from pressroom.llm.common import fold, written_by
 from pressroom.llm.shards import (
-    COLUMNS, SCHEMA, Layout, by_key, gaps, layout_for, packed, record, summed, token_blocks,
+    COLUMNS, CONTEXT_BITS, SCHEMA, Layout, by_key, gaps, layout_for, packed, record, summed, token_blocks,
     unpacked, unpacked_tokens,
 )
 
@@ -37,8 +37,6 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 100.0
 #: Sweeps that are forgotten and sweeps that are averaged.
 BURN_IN, SAMPLES = 2, 3
 SWEEPS = BURN_IN + SAMPLES
-#: Bits of the hash of a word before: a word shares its restaurant with odds of the vocabulary's size over 2^48.
-CONTEXT_BITS = 48
 #: Tasks of a sweep at most; a task then has several shards, one at a time.
 TASKS = 20_000
 #: Rows between shards, owners and the driver: state, tables asked about, sums of them, parts of the totals.
@@ -48,10 +46,6 @@ _MESSAGE = pa.schema([
 _MESSAGE_SCHEMA = "kind string, shard int, chunk long, block binary, slots array<long>, amounts array<long>"
 
 
-def contexts_of(before: np.ndarray) -> np.ndarray:
-    return before >> np.uint64(64 - CONTEXT_BITS)
-
-
 def owners_of(contexts: np.ndarray, shards: int) -> np.ndarray:
     """The owning shard of each context; it ascends with the context."""
     return ((contexts >> np.uint64(CONTEXT_BITS - 32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
@@ -402,7 +396,7 @@ def score_texts(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"),
         F.coalesce(F.col(train), F.lit(False)).alias("train"))
     layout = layout_for(source)
-    table = written_by(_counted(token_blocks(source, layout, contexts_of), layout), "shards", "kind")
+    table = written_by(_counted(token_blocks(source, layout), layout), "shards", "kind")
     known = _known(table.where("kind = 'keys'"))
     begun = written_by(_ready(table.where("kind = 'counts'"), known, layout), "ready", "kind")
     totals = _totals(begun, layout, 0, None)

@@ -23,6 +23,8 @@ from pyspark.taskcontext import TaskContext
 
 from pressroom.llm.pretokens import MEMO_SIZE, in_slices
 
+#: Bits of the hash of a word before: a word shares its context with odds of the vocabulary's size over 2^48.
+CONTEXT_BITS = 48
 #: Tokens of a chunk, about, and its documents at most.
 CHUNK_TOKENS, CHUNK_DOCUMENTS = 1 << 21, 1 << 16
 #: Characters of text for each shard.
@@ -39,6 +41,11 @@ def _hash(word: bytes) -> int:
 END = _hash(b"\n")
 
 
+def contexts_of(before: np.ndarray) -> np.ndarray:
+    """The contexts that words before make, by their hashes."""
+    return before >> np.uint64(64 - CONTEXT_BITS)
+
+
 def words_of(text: str) -> list[bytes]:
     """Runs of other than ASCII white space, A-Z lower-cased."""
     return text.encode().lower().split()
@@ -133,9 +140,10 @@ class _Chunk:
         words = np.concatenate(self.words)
         before = np.empty_like(words)
         before[0], before[1:] = END, words[:-1]  # a text follows the end of another
-        contexts = numbers(before)
+        contexts = contexts_of(before)
         docs = np.repeat(np.arange(len(self.sizes), dtype=np.uint16), self.sizes)
         shard = layout.shard_of(words, contexts)
+        contexts = numbers(contexts)
         order = np.argsort(words, kind="stable")
         order = order[np.argsort(shard[order].astype(np.uint16) if layout.shards < 1 << 16 else shard[order], kind="stable")]
         words, contexts, docs, shard = words[order], contexts[order], docs[order], shard[order]
@@ -147,12 +155,12 @@ class _Chunk:
 
 
 def token_blocks(
-    docs: DataFrame, layout: Layout, numbers: Callable[[np.ndarray], np.ndarray],
+    docs: DataFrame, layout: Layout, numbers: Callable[[np.ndarray], np.ndarray] = lambda contexts: contexts,
     pack: Callable[..., bytes] = packed_tokens,
 ) -> DataFrame:
     """Rows of ``SCHEMA`` for documents ``id, text, train``.
 
-    ``numbers`` gives the contexts for the hashes of the words before, ``pack`` the bytes of a block.
+    ``numbers`` gives what stands for the contexts in a block, ``pack`` its bytes.
     """
     kind = docs.schema["id"].dataType.simpleString()
 

@@ -159,7 +159,7 @@ def test_scores_equal_plain_seating(corpus, dealt, monkeypatch):
 def test_contexts_have_restaurants_of_their_own():
     """However many contexts there are, and each owner has a range of them."""
     hashes = np.random.default_rng(3).integers(0, 1 << 64, 300_000, np.uint64)
-    contexts = np.unique(pitman_yor.contexts_of(hashes))
+    contexts = np.unique(shards.contexts_of(hashes))
     assert len(contexts) == len(np.unique(hashes))
     owners = pitman_yor.owners_of(contexts, 37)
     assert (np.diff(owners) >= 0).all() and set(owners.tolist()) == set(range(37))
@@ -194,18 +194,61 @@ def test_no_rows(none):
 def test_kneser_ney_sums_to_one():
     layout = Layout(1)
     words = np.sort(np.array([shards._hash(w) for w in (b"a", b"b", b"c", b"d")], np.uint64))
-    blocks = [[words, np.array([4, 2, 1, 2], np.uint32), np.array([1, 1, 1, 2, 1, 2, 3, 1, 1], np.uint16), None]]
-    model = kneser_ney.Shard(blocks, layout)
-    sums = model.shared(0)
+    blocks = [(words, np.array([4, 2, 1, 2], np.uint32), np.array([1, 1, 1, 2, 1, 2, 3, 1, 1]))]
+    model = kneser_ney.Shard(blocks, 4, layout)
+    sums = model.rest(0)
     totals = kneser_ney.Totals(
-        sums[:4 * kneser_ney.CONTEXTS].reshape(4, kneser_ney.CONTEXTS), np.array([0, 0.6, 0.9, 1.2]), np.array([0, 0.5, 0.7, 0.9]),
+        model.of_contexts(), np.array([0, 0.6, 0.9, 1.2]), np.array([0, 0.5, 0.7, 0.9]),
         np.array([sums[-6], sums[-5], sums[-2]]), int(sums[-1]), 4, np.zeros(0, np.int64))
-    for context in (1, 2, 3, 9):
+    for context in (0, 1, 2, 3):
         asked = np.append(words, np.uint64(12345))
         p = 10 ** model.log_probability(asked, np.full(5, context), totals)
         assert p.sum() == pytest.approx(1, abs=1e-9) and (p > 0).all()
 
 
+def plain_perplexities(texts):
+    """Interpolated modified Kneser-Ney in plain dicts, learned from ``(key, text, train)``."""
+    pairs = {key: list(zip([None, *tokens(t)], tokens(t))) for key, t, _ in texts}
+    counts = Counter(p for key, _, train in texts if train for p in pairs[key])
+    follows, total, types = Counter(), Counter(), {}
+    for (before, word), c in counts.items():
+        follows[word] += 1
+        total[before] += c
+        types.setdefault(before, [0, 0, 0])[min(c, 3) - 1] += 1
+
+    def discounted(values):
+        n = [sum(v == k for v in values) for k in (1, 2, 3, 4)]
+        d = discounts(*n).tolist()
+        seen = [n[0], n[1], sum(v >= 3 for v in values)]
+        return d, seen
+
+    (d2, _), (d1, seen) = discounted(counts.values()), discounted(follows.values())
+
+    def probability(before, word):
+        spread = sum(d * k for d, k in zip(d1[1:], seen)) / len(counts)
+        low = max(follows[word] - d1[min(follows[word], 3)], 0) / len(counts) + spread / (len(follows) + 1)
+        if not total[before]:
+            return low
+        c = counts[before, word]
+        backoff = sum(d * k for d, k in zip(d2[1:], types[before]))
+        return (max(c - d2[min(c, 3)], 0) + backoff * low) / total[before]
+
+    return {key: 10 ** -(sum(math.log10(probability(*p)) for p in ps) / len(ps)) for key, ps in pairs.items()}
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_perplexities_equal_plain_counts(corpus, dealt, monkeypatch):
+    if dealt:
+        many_shards(monkeypatch, kneser_ney)
+    texts = [(i, r["text"], i % 3 == 0) for i, r in enumerate(corpus.collect())]
+    frame = corpus.sparkSession.createDataFrame(texts, "doc_id long, text string, learn boolean").repartition(3)
+    expected = plain_perplexities(texts)
+    got = {r["doc_id"]: r["perplexity"] for r in perplexities(frame, "learn").collect()}
+    assert got.keys() == expected.keys()
+    for key, value in got.items():
+        assert value == pytest.approx(expected[key], rel=1e-9)
+
+
 def test_discounts():
     assert discounts(0, 1, 1, 1).tolist() == [0, 0.5, 0.5, 0.5]
     y = 100 / (100 + 80)
