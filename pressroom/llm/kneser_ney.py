@@ -1,30 +1,41 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 Counts live in shards, dealt by word. A first pass over the trusted texts sums what belongs to no word:
-the discounts, and how many words followed each context once, twice or more often. A second pass sends
-the tokens of every document to the shards, where they meet the trusted counts of their pairs and words,
-and adds up each document's log-probability. Limits are quantiles of the perplexity of trusted texts that
-the model hasn't learned from, one for each language.
+the discounts, and how many words followed each context once, twice or more often. Each shard gives its
+part of those to owners of ranges of contexts, who answer with the sums of what it asked for. A second pass
+sends the tokens of every document to the shards, where they meet the trusted counts of their pairs and
+words, and adds up each document's log-probability. Limits are quantiles of the perplexity of trusted texts
+that the model hasn't learned from, one for each language.
+
+A token's probability is its word's lower one times its context's weight, and more where the trusted texts
+have the pair. A text's contexts are its words over again, so a shard charges each word's weight as a context
+with the word itself, and needs of other contexts only those that its trusted pairs have.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressroom.llm.pitman_yor import owners_of
 from pressroom.llm.shards import (
-    COLUMNS, SCHEMA, Layout, by_key, gaps, layout_for, packed, packed_tokens, record, summed,
-    token_blocks, unpacked, unpacked_tokens,
+    COLUMNS, END, NOMINATING, SCHEMA, Layout, by_key, contexts_of, gaps, hash_of, layout_for, packed, record, summed,
+    token_blocks, unpacked,
 )
 from pressroom.session import write_and_read
 
-#: Trusted rows that the classifier learns from at most, chosen by the hash of their ids.
-TRUSTED_ROWS = 20_000
+#: Contexts that have numbers in blocks at most; others are named by their hashes, which take more bytes.
+COMMON_CONTEXTS = 1 << 18
+#: Trusted ids up to which they are broadcast to the documents; beyond, texts are shuffled to them.
+SENT_IDS = 1 << 23
+#: Chunks of the rows that a shard gets first.
+_ANSWER, _TRUSTED = -2, -1
 #: One trusted row in so many sets the limits and is not learned from.
 CALIBRATION = 5
 #: The limit is this quantile of the perplexity of trusted texts that were not learned from.
@@ -33,34 +44,79 @@ QUANTILE = 0.99
 
 @dataclass
 class Contexts:
-    """The words before that trusted texts have, by their sorted hashes, and their numbers from 1.
+    """Words before that are common, by their sorted hashes, and their numbers from 1. 0 is any other.
 
-    Frequent ones have low numbers, which take few bytes between tasks. 0 is any other.
+    Frequent ones have low numbers, which take few bytes between tasks.
     """
 
     hashes: np.ndarray
     numbers: np.ndarray
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.uint32)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.numbers[at], np.uint32(0))
+        return np.where(found(self.hashes, hashes), self.numbers[place(self.hashes, hashes)], np.uint32(0)) \
+            if len(self.hashes) else np.zeros(len(hashes), np.uint32)
 
+    def by_number(self) -> np.ndarray:
+        """Hashes of the numbers from 1."""
+        return self.hashes[np.argsort(self.numbers)]
 
-def packed_without_documents(words: np.ndarray, counts: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
-    """A block to be counted only."""
-    return packed_tokens(words, counts, contexts, np.zeros_like(docs))
 
+def place(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where each asked value would stand among the sorted known ones, which are some."""
+    return np.minimum(np.searchsorted(known, asked), len(known) - 1)
 
-def packed_numbered(words: np.ndarray, counts: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> bytes:
-    """A block: sorted distinct words, their tokens' number, and each token's numbered context and document."""
-    return packed(gaps(words), counts, contexts, gaps(docs))
 
+def found(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    return known[place(known, asked)] == asked
 
-def unpacked_numbered(data: bytes) -> tuple[np.ndarray, ...]:
-    words, counts, contexts, docs = unpacked(data, "u8", "u4", "u4", "u2")
-    return np.cumsum(words, dtype=np.uint64), counts, contexts, np.cumsum(docs, dtype=np.uint16)
+
+def common_contexts(docs: DataFrame, text: str = "text") -> Contexts:
+    """Words that are frequent in some documents: how contexts are written down, which changes no result."""
+    some = docs.where(F.pmod(F.xxhash64(text), F.lit(NOMINATING)) == 0)
+    words = some.select(F.explode(F.split(F.lower(text), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
+    most = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON_CONTEXTS - 1)
+    hashes = [END, *(hash_of(w.encode()) for w in most.select("word").toArrow()["word"].to_pylist())]
+    known, first = np.unique(contexts_of(np.array(hashes, np.uint64)), return_index=True)
+    return Contexts(known, (np.argsort(np.argsort(first)) + 1).astype(np.uint32))
+
+
+def packed_pairs(words: np.ndarray, counts: np.ndarray, contexts: np.ndarray, docs: np.ndarray, common: Contexts) -> bytes:
+    """A block: sorted distinct words, their tokens' number, and each token's context and document.
+
+    A word's tokens are in the order of their contexts' numbers, so that those are given by their gaps.
+    """
+    number = common.of(contexts)
+    order = np.argsort(np.repeat(np.arange(len(words), dtype=np.uint64), counts) << np.uint64(32) | number, kind="stable")
+    number = number[order]
+    gap, first = np.diff(number, prepend=np.uint32(0)), np.cumsum(counts, dtype=np.int64) - counts
+    gap[first] = number[first]
+    return packed(gaps(words), counts, gap, contexts[order][number == 0], docs[order])
+
+
+def unpacked_pairs(data: bytes) -> tuple[np.ndarray, ...]:
+    """Words, counts, numbers of contexts, the hashes of those without (0), and documents of a block."""
+    words, counts, gap, others, docs = unpacked(data, "u8", "u4", "u4", "u8", "u2")
+    upto, first = np.cumsum(gap, dtype=np.int64), np.cumsum(counts, dtype=np.int64) - counts
+    number = upto - np.repeat(upto[first] - gap[first], counts)
+    return np.cumsum(words, dtype=np.uint64), counts, number, others, docs
+
+
+class Places:
+    """Places of a block's contexts among sorted hashes, from 1; 0 for those that aren't there."""
+
+    def __init__(self, known: np.ndarray, common: Contexts):
+        self.known = known
+        self.of_number = np.append(0, self.of(common.by_number()))
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros(len(hashes), np.int64)
+        return np.where(found(self.known, hashes), place(self.known, hashes) + 1, 0)
+
+    def of_block(self, number: np.ndarray, others: np.ndarray) -> np.ndarray:
+        out = self.of_number[number]
+        out[number == 0] = self.of(others)
+        return out
 
 
 def discounts(ones: int, twos: int, threes: int, fours: int) -> np.ndarray:
@@ -74,9 +130,9 @@ def discounts(ones: int, twos: int, threes: int, fours: int) -> np.ndarray:
 
 @dataclass
 class Totals:
-    """What all shards share: by context its tokens and types seen 1, 2, 3+ times; the rest of the model."""
+    """By context its tokens and types seen 1, 2, 3+ times; the rest of the model, which all shards share."""
 
-    contexts: np.ndarray    # by number; all zero for 0
+    contexts: np.ndarray    # by place in a shard's; all zero for 0
     pair_discounts: np.ndarray
     word_discounts: np.ndarray
     word_types: np.ndarray  # words that follow 1, 2, 3+ contexts
@@ -118,119 +174,179 @@ class Shard:
         out[-2:] = (cold >= 3).sum(), len(self.pairs)
         return out
 
-    def log_probability(self, words: np.ndarray, contexts: np.ndarray, totals: Totals) -> np.ndarray:
-        """log10 of each word's probability after its context."""
+    def log_probability(
+        self, words: np.ndarray, contexts: np.ndarray, totals: Totals, charged: np.ndarray | None = None,
+    ) -> np.ndarray:
+        """log10 of each word's probability after its context.
+
+        With ``charged`` it bears the weight of that context instead of its own, which counts for the pair
+        alone, and may be 0 where the trusted texts don't have the pair.
+        """
         if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+            at = place(self.words, words)
             known = self.words[at] == words
             follows = np.where(self.hot >= 0, totals.hot[self.hot] if len(totals.hot) else 0, self.follows)
             n = np.where(known, follows[at], 0)
             keys = at * self.width + contexts
-            place = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            c = np.where(known & (self.pairs[place] == keys), self.counts[place], 0)
+            pair = place(self.pairs, keys)
+            c = np.where(known & (self.pairs[pair] == keys), self.counts[pair], 0)
         else:
             n = c = np.zeros(len(words), np.int64)
         all_pairs = max(totals.pairs, 1)
         spread = (totals.word_discounts[1:] * totals.word_types).sum() / all_pairs if totals.pairs else 1.0
         lower = (np.maximum(n - totals.word_discounts[np.minimum(n, 3)], 0) / all_pairs
                  + spread / (totals.words + 1))
-        total, *types = totals.contexts[:, contexts]
+        total, *types = totals.contexts
         backoff = sum(d * t for d, t in zip(totals.pair_discounts[1:], types))
-        own = np.maximum(c - totals.pair_discounts[np.minimum(c, 3)], 0)
-        seen = np.maximum(total, 1)
-        return np.log10(np.where(total > 0, own / seen + backoff / seen * lower, lower))
+        weight = np.log10(np.where(total > 0, backoff / np.maximum(total, 1), 1))
+        out = np.log10(lower) + weight[contexts if charged is None else charged]
+        seen = np.flatnonzero(c)
+        own = c[seen] - totals.pair_discounts[np.minimum(c[seen], 3)]
+        out[seen] += np.log10(1 + np.maximum(own, 0) / (backoff[contexts[seen]] * lower[seen]))
+        return out
 
 
-def _totals(blocks: DataFrame, layout: Layout) -> tuple[Contexts, Totals]:
-    """Sums over the trusted blocks. Rows are bounded, so the contexts in them are."""
+_ASKED = "owner int, shard int, block binary, slot long, n long"
+
+
+def _asked(blocks: DataFrame, layout: Layout, common: Broadcast) -> DataFrame:
+    """What the shards have of contexts, for their owners, and of everything else by slot, from trusted blocks."""
     hot = len(layout.hot)
+    of_hot = contexts_of(layout.hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_number = common.value.by_number()
         for rows, _ in by_key(batches, "shard"):
-            read = [unpacked_tokens(r["block"]) for r in rows if r["block"] is not None]
-            known = np.unique(np.concatenate([r[2] for r in read])) if read else np.zeros(0, np.uint64)
-            shard = Shard([(w, n, np.searchsorted(known, c)[place]) for w, n, c, place, _ in read], len(known), layout)
-            rest = shard.rest(hot)
-            none = np.zeros_like(rest)
-            if len(known):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (np.ones(len(known), bool), known.astype(np.int64), *shard.of_contexts())],
-                    names=names)
+            read = [unpacked_pairs(r["block"]) for r in rows]
+            # the contexts of its pairs, and its own words as contexts
+            known = np.unique(np.concatenate([
+                of_hot, *(x for w, _, n, others, _ in read for x in (
+                    contexts_of(w), others, by_number[np.unique(n[n > 0]) - 1]))]))
+            places = Places(known, common.value)
+            shard = Shard([(w, c, places.of_block(n, others)) for w, c, n, others, _ in read], len(known) + 1, layout)
+            sums = shard.of_contexts()[:, 1:]
+            owner = owners_of(known, layout.shards)
+            cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(known)]
+            made = [(int(owner[a]), packed(gaps(known[a:b]), *(x[a:b].astype(np.uint32) for x in sums)))
+                    for a, b in zip(cuts, cuts[1:])]
+            rest = np.concatenate([sums[:, places.of(of_hot) - 1].reshape(-1), shard.rest(hot)])
+            n, number = len(made), rows[0]["shard"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o for o, _ in made], pa.int32()), pa.array([number] * n, pa.int32()),
+                 pa.array([x for _, x in made], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
+            n = len(rest)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (none.astype(bool), np.arange(len(rest)), rest, none, none, none)], names=names)
-
-    names = ["context", "slot", "n", "once", "twice", "more"]
-    found = (blocks.select("shard", "block").repartition("shard").sortWithinPartitions("shard")
-             .mapInArrow(run, "context boolean, slot long, n long, once long, twice long, more long")
-             .groupBy("context", "slot").agg(*(F.sum(c).alias(c) for c in names[2:])).toArrow())
-    is_context = found["context"].to_numpy().astype(bool)
-    slot, sums = found["slot"].to_numpy(), np.stack([found[c].to_numpy() for c in names[2:]])
-    dense = np.zeros(hot + 10, np.int64)
-    dense[slot[~is_context]] = sums[0, ~is_context]
-    hashes, sums = slot[is_context].astype(np.uint64), sums[:, is_context]
-    order = np.lexsort([hashes, -sums[0]])  # by frequency
-    by_hash = np.argsort(hashes[order])
-    contexts = Contexts(hashes[order][by_hash], (by_hash + 1).astype(np.uint32))
-    of_contexts = np.concatenate([np.zeros((4, 1), np.int64), sums[:, order]], axis=1)
-    follows = dense[:hot]
+                [pa.nulls(n, pa.int32()), pa.array([number] * n, pa.int32()), pa.nulls(n, pa.binary()),
+                 pa.array(np.arange(n)), pa.array(rest)], names=names)
+
+    names = ["owner", "shard", "block", "slot", "n"]
+    return blocks.select("shard", "block").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, _ASKED)
+
+
+def _totals(asked: DataFrame, layout: Layout) -> Totals:
+    """The sums that all shards share; ``contexts`` are those of hot words."""
+    hot = len(layout.hot)
+    sums = asked.where("owner IS NULL").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    dense = np.zeros(5 * hot + 10, np.int64)
+    dense[sums["slot"].to_numpy()] = sums["n"].to_numpy()
+    follows = dense[4 * hot:5 * hot]
     of_words = dense[-6:-2] + np.array([(follows == k).sum() for k in (1, 2, 3, 4)])
     many = int(dense[-2] + (follows >= 3).sum())
     types = np.array([of_words[0], of_words[1], many])
-    return contexts, Totals(
-        of_contexts, discounts(*dense[-10:-6].tolist()), discounts(*of_words.tolist()),
+    return Totals(
+        dense[:4 * hot].reshape(4, hot), discounts(*dense[-10:-6].tolist()), discounts(*of_words.tolist()),
         types, int(dense[-1]), int(types.sum()), follows)
 
 
+def _answers(asked: DataFrame) -> DataFrame:
+    """``shard, block``: of each context that a shard asked for, its sums over all shards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in by_key(batches, "owner"):
+            read = [unpacked(r["block"], "u8", *["u4"] * 4) for r in rows]
+            hashes = [np.cumsum(x[0], dtype=np.uint64) for x in read]
+            known, at = np.unique(np.concatenate(hashes), return_inverse=True)
+            sums = [np.bincount(at, np.concatenate([x[k] for x in read]), len(known)).astype(np.int64) for k in range(1, 5)]
+            ends = np.cumsum([len(x) for x in hashes]).tolist()
+            for row, own, a, b in zip(rows, hashes, [0, *ends], ends):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["shard"]], pa.int32()),
+                     pa.array([packed(gaps(own), *(x[at[a:b]] for x in sums))], pa.binary())], names=["shard", "block"])
+
+    return (asked.where("owner IS NOT NULL").select("owner", "shard", "block").repartition("owner")
+            .sortWithinPartitions("owner").mapInArrow(run, "shard int, block binary"))
+
+
 def perplexities(
     docs: DataFrame, train: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``id, train, n_tokens, perplexity`` of every row, under a model of the rows where ``train`` is true.
 
-    Those must be bounded: every shard holds its part of them. A null or empty text is its end alone;
-    texts of any length are scored whole; repeated rows alike, null ids kept. With no trusted row every
-    token has probability one.
+    A null or empty text is its end alone; texts of any length are scored whole; repeated rows alike, null
+    ids kept. With no trusted row every token has probability one. Every shard holds its part of the trusted
+    rows' pairs, and the sums of the contexts in them.
     """
     source = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"),
         F.coalesce(F.col(train), F.lit(False)).alias("train"))
     layout = layout_for(source)
-    contexts, totals = _totals(
-        token_blocks(source.where("train"), layout, pack=packed_without_documents), layout)
-    numbered = docs.sparkSession.sparkContext.broadcast(contexts)
-    shared = docs.sparkSession.sparkContext.broadcast(totals)
+    context = docs.sparkSession.sparkContext
+    common = context.broadcast(common_contexts(source))
+
+    def for_counts(words, counts, contexts, docs) -> bytes:
+        return packed_pairs(words, counts, contexts, np.zeros_like(docs), common.value)
+
+    trusted = token_blocks(source.where("train"), layout, pack=for_counts).where("block IS NOT NULL")
+    asked = write_and_read(_asked(trusted, layout, common), "asked-contexts")
+    shared = context.broadcast(_totals(asked, layout))
+    of_hot = contexts_of(layout.hot)
+
+    def model_of(answers: list[bytes], blocks: list[bytes]) -> tuple[Shard, Places, Totals]:
+        totals = shared.value
+        read = [unpacked(a, "u8", *["i8"] * 4) for a in answers]
+        known, first = np.unique(
+            np.concatenate([of_hot, *(np.cumsum(r[0], dtype=np.uint64) for r in read)]), return_index=True)
+        sums = np.concatenate([totals.contexts, *(np.stack(r[1:]) for r in read)], axis=1)[:, first]
+        places = Places(known, common.value)
+        counted = [(w, c, places.of_block(n, others)) for w, c, n, others, _ in map(unpacked_pairs, blocks)]
+        own = replace(totals, contexts=np.concatenate([np.zeros((4, 1), np.int64), sums], axis=1))
+        return Shard(counted, len(known) + 1, layout), places, own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A shard's trusted rows come first."""
-        number, trusted, model = None, [], None
+        """A shard's answers come first, then its trusted rows."""
+        number, answers, trusted, model = None, [], [], None
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 if row["shard"] != number:
-                    number, trusted, model = row["shard"], [], None
+                    number, answers, trusted, model = row["shard"], [], [], None
                 if row["block"] is None:
                     out.append(row)
                 elif row["chunk"] < 0:
-                    trusted.append(unpacked_numbered(row["block"])[:3])
+                    (trusted if row["chunk"] == _TRUSTED else answers).append(row["block"])
                 else:
                     if model is None:
-                        model, trusted = Shard(trusted, shared.value.contexts.shape[1], layout), []
-                    words, counts, contexts, docs = unpacked_numbered(row["block"])
-                    score = model.log_probability(
-                        np.repeat(words, counts), contexts.astype(np.int64), shared.value)
-                    found = np.flatnonzero(np.bincount(docs))
-                    row["block"] = packed(found.astype(np.uint16), np.bincount(docs, score)[found])
+                        model, answers, trusted = model_of(answers, trusted), [], []
+                    shard, places, totals = model
+                    words, counts, numbers, others, docs = unpacked_pairs(row["block"])
+                    score = shard.log_probability(
+                        np.repeat(words, counts), places.of_block(numbers, others), totals,
+                        np.repeat(places.of(contexts_of(words)), counts))
+                    some = np.flatnonzero(np.bincount(docs))
+                    row["block"] = packed(some.astype(np.uint16), np.bincount(docs, score)[some])
                     out.append(row)
             if out:
                 yield record(out, COLUMNS, batch.schema)
 
-    # the trusted blocks go to their shards twice: to be learned (chunk below zero) and to be scored
-    blocks = token_blocks(source, layout, lambda hashes: numbered.value.of(hashes), packed_numbered)
-    both = blocks.withColumn("copy", F.explode(
-        F.when(F.col("train") & F.col("block").isNotNull(), F.array(F.lit(True), F.lit(False)))
-        .otherwise(F.array(F.lit(False)))))
-    dealt = both.select(
-        "shard", F.when(F.col("copy"), F.lit(-1).cast("long")).otherwise(F.col("chunk")).alias("chunk"),
-        "train", "block", "doc", "id", "n_tokens")
+    def for_scores(words, counts, contexts, docs) -> bytes:
+        return packed_pairs(words, counts, contexts, docs, common.value)
+
+    def to_shards(blocks: DataFrame, kind: int) -> DataFrame:
+        return blocks.select("shard", F.lit(kind).cast("long").alias("chunk"), "block")
+
+    blocks = token_blocks(source, layout, pack=for_scores)
+    dealt = (blocks.unionByName(to_shards(trusted, _TRUSTED), allowMissingColumns=True)
+             .unionByName(to_shards(_answers(asked), _ANSWER), allowMissingColumns=True).select(*COLUMNS))
     kind = docs.schema[id_column].dataType.simpleString()
     parts = dealt.repartition("shard").sortWithinPartitions("shard", "chunk").mapInArrow(run, SCHEMA.format(id=kind))
     return summed(parts, ("score",)).select(
@@ -240,21 +356,21 @@ def perplexities(
 
 def judge_quality(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    lang_column: str = "lang", label_column: str = "quality", rows: int = TRUSTED_ROWS,
+    lang_column: str = "lang", label_column: str = "quality",
 ) -> DataFrame:
     """``id, lang, n_tokens, perplexity, threshold, kept``: one row per row of ``docs``.
 
-    Trusted texts are labelled 1; at most ``rows`` of them, by the hash of their ids, are used. A
+    Trusted texts are labelled 1, and all of them are used. A
     language without a trusted text for its limit, null among them, gets the limit of all; without any
     trusted text there is no limit, and all are kept. Several labels of an id: trusted if one says so.
     """
     key = F.col(id_column)
     trusted = (
         labels.where(key.isNotNull() & (F.col(label_column) == 1)).select(key.alias("_id")).distinct()
-        .orderBy(F.xxhash64("_id"), "_id").limit(rows)
         .withColumn("_use", F.when(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(CALIBRATION)) == 0, "limit").otherwise("learn")))
     source = docs.select(key.alias("_key"), F.col(text_column).alias("_text"), F.col(lang_column).alias("_lang"))
-    used = source.join(F.broadcast(trusted), F.col("_key") == F.col("_id"), "left").select(
+    few = trusted.count() <= SENT_IDS
+    used = source.join(F.broadcast(trusted) if few else trusted, F.col("_key") == F.col("_id"), "left").select(
         F.struct(F.col("_key").alias("id"), F.col("_lang").alias("lang"), F.col("_use").alias("use")).alias("who"),
         "_text", (F.col("_use") == "learn").alias("_train"))
     scored = perplexities(used, "_train", "who", "_text")

@@ -37,6 +37,9 @@ def _hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+hash_of = _hash
+
+
 #: The token after the last word of a text. No word is a line break.
 END = _hash(b"\n")
 

@@ -290,3 +290,36 @@ def test_the_limit_is_a_quantile_of_trusted_texts_not_learned_from(spark, corpus
     limit = {r["threshold"] for r in rows}
     assert len(limit) == 1 and limit <= {r["perplexity"] for r in rows}  # one of the texts' own, not a multiple
     assert all(r["kept"] == (r["perplexity"] <= r["threshold"]) for r in rows)
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_every_trusted_text_is_learned_from(spark, dealt, monkeypatch):
+    """More than 20,000 of them, each with a word of its own."""
+    if dealt:
+        many_shards(monkeypatch, kneser_ney)
+    n = 30_000
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.format_string("w%d w%d", "id", "id").alias("text"), F.lit("en").alias("lang"))
+    rows = judge_quality(docs, docs.select("doc_id", F.lit(1).alias("quality"))).select("perplexity").collect()
+    # a text that was learned from has its words, a fifth of them haven't
+    least = min(r["perplexity"] for r in rows)
+    known = sum(r["perplexity"] < 2 * least for r in rows)
+    assert len(rows) == n and 0.78 * n < known < 0.82 * n
+
+
+def test_blocks_name_rare_contexts_by_their_hashes():
+    rng = np.random.default_rng(5)
+    words = np.unique(rng.integers(0, 1 << 64, 50, np.uint64))
+    counts = rng.integers(1, 9, len(words)).astype(np.uint32)
+    pool = np.unique(shards.contexts_of(rng.integers(0, 1 << 64, 40, np.uint64)))
+    common = kneser_ney.Contexts(pool[::2], rng.permutation(len(pool[::2])).astype(np.uint32) + 1)
+    contexts, docs = rng.choice(pool, counts.sum()), rng.integers(0, 99, counts.sum()).astype(np.uint16)
+    w, c, number, others, d = kneser_ney.unpacked_pairs(kneser_ney.packed_pairs(words, counts, contexts, docs, common))
+    back = np.append(np.uint64(0), common.by_number())[number]
+    back[number == 0] = others
+    assert (w == words).all() and (c == counts).all()
+    of = np.repeat(np.arange(len(words)), counts)
+    assert sorted(zip(of, back, d)) == sorted(zip(of, contexts, docs))
+    known = pool[5:30]
+    at = kneser_ney.Places(known, common).of_block(number, others)
+    assert (np.append(np.uint64(0), known)[at] == np.where(np.isin(back, known), back, 0)).all()
