@@ -3,11 +3,13 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pressroom.functions.tokens import FULL_STOP_WORDS
+from pressroom.plans import models, tune
 from pressroom.plans import train as training
-from pressroom.plans import tune
 from pressroom.plans.features import count_pipeline, tfidf_pipeline
 from pressroom.plans.predict import predict, predict_text
 from pressroom.plans.tune import (
@@ -187,3 +189,19 @@ def test_cross_validate(prepared):
     got = cross_validate(prepared, {"regParam": [0.1, 10.0]}, folds=2, maxIter=3)
     assert got.folds.count() == 2
     assert 0 <= got.test_score <= 1
+
+
+@pytest.mark.parametrize("family, params", [
+    ("rf", {"numTrees": 1, "bootstrap": False, "maxDepth": 2, "featureSubsetStrategy": "all", "seed": 1}),
+    ("boosted", {"rounds": 1, "max_depth": 1})])
+def test_no_task_reads_many_dense_rows(spark, monkeypatch, family, params):
+    """One part of wide rows is dealt out before trees make it dense, and the trees are the same."""
+    rows = spark.createDataFrame([
+        (float(i % 2), Vectors.sparse(1000, [i % 2, 2 + i % 997], [1.0, 1.0])) for i in range(400)],
+        StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])).coalesce(1)
+    plain = [r["prediction"] for r in models.fit_classifier(rows, family, params, 2).transform(rows).collect()]
+    monkeypatch.setattr(models, "DENSE_BYTES", 4 * 1000 * 10)
+    with models.dense_parts(rows) as dealt:
+        sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) <= 20 and sum(r["count"] for r in sizes) == 400
+    assert [r["prediction"] for r in models.fit_classifier(rows, family, params, 2).transform(rows).collect()] == plain
