@@ -258,6 +258,9 @@ def csv_dropna(spark, sf_dir):
 # --- insert if absent -----------------------------------------------------------------------
 
 
+_LANDED_BYTES = 1 << 27
+
+
 def insert_if_absent(spark, sf_dir):
     path = scratch_path(spark, "store")
     docs = _documents(spark, sf_dir).select("text", "category")
@@ -278,13 +281,21 @@ def stream_ingest(spark, sf_dir):
     return store.scan_store(spark, path)
 
 
+def landed_files(size: int) -> int:
+    """Files of each of three batches of messages, none over ``_LANDED_BYTES`` or so."""
+    return max(1, -(-size // (3 * _LANDED_BYTES)))
+
+
 def ledger_ingest(spark, sf_dir):
     """Documents and broken messages in several batches, and all batches again from a fresh checkpoint."""
     landed, root = scratch_path(spark, "landed"), scratch_path(spark, "ledger")
     docs = messages.encode_messages(_documents(spark, sf_dir)).select("value")
     broken = _table(spark, sf_dir, "events").select(F.col("props").alias("value"))
-    messages.write_message_files(union_sources(docs, broken).repartition(3, "value"), landed)
-    stream = messages.stream_message_files(spark, landed, max_files=1)
+    read = ((_documents(spark, sf_dir), "text"), (broken, "value"))
+    size = sum(df.agg(F.sum(F.octet_length(c))).first()[0] or 0 for df, c in read)
+    files = landed_files(size)  # of a batch; dealt without a key, as many broken messages may be alike
+    messages.write_message_files(union_sources(docs, broken).repartition(3 * files), landed)
+    stream = messages.stream_message_files(spark, landed, max_files=files)
     for _ in range(2):  # the same source, so the second time each number is known
         start_ledger_ingest(stream, root, scratch_path(spark, "checkpoint")).awaitTermination()
     stored = ledger.scan_articles(spark, root).select("text", "category", F.lit(None).cast("string").alias("reason"))

@@ -127,3 +127,12 @@ def test_stream(spark, tmp_path):
         ).awaitTermination(120)
         assert scan_articles(spark, root).count() == 2
     assert read_rejects(spark, root).count() == 2  # each source's own
+
+
+def test_landed_files_are_bounded():
+    """However large the input, no task deals out more than one small file of it."""
+    import __spark_entry__ as entry
+
+    for size in (0, 1, 10**8, 10**9, 6 * 10**9, 10**12):
+        files = 3 * entry.landed_files(size)
+        assert files % 3 == 0 and size / files <= entry._LANDED_BYTES
