@@ -17,6 +17,8 @@ from pressroom.schemas import ARTICLE_FIELDS, MESSAGE
 TOPIC = "newsarticles"
 # Bytes of a message; a broker refuses over 1 MiB unless told otherwise.
 MESSAGE_BYTES = 1_000_000
+# Bytes of messages that a worker joins at once, about.
+JOINED_BYTES = 1 << 22
 
 
 def _articles_json(df: DataFrame, keep_nulls: bool) -> DataFrame:
@@ -25,6 +27,29 @@ def _articles_json(df: DataFrame, keep_nulls: bool) -> DataFrame:
     return df.select(F.to_json(F.struct(*fields), options).alias("json"))
 
 
+def cut_messages(batches: Iterator[pa.RecordBatch], batch_size: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Messages of the rows of one partition, joined ``JOINED_BYTES`` or so at a time."""
+    for batch in batches:
+        # bytes up to each row, with its comma; a message has one more for its brackets
+        lengths = pc.binary_length(batch.column(0)).to_numpy().astype(np.int64)
+        before = np.append(0, np.cumsum(lengths + 1))
+        starts = [0]
+        while starts[-1] < batch.num_rows:
+            at = starts[-1]
+            fits = int(np.searchsorted(before, before[at] + max_bytes - 1, "right")) - 1
+            starts.append(max(at + 1, min(at + batch_size, fits)))
+        if not batch.num_rows:
+            starts.append(0)
+        lots = np.flatnonzero(np.diff(before[starts] // JOINED_BYTES)) + 1
+        bounds = [0, *(k for k in lots.tolist() if k < len(starts) - 1), len(starts) - 1]
+        for a, b in zip(bounds, bounds[1:]):
+            # not a slice of a list array, which a join would take whole
+            rows = batch.column(0).slice(starts[a], starts[b] - starts[a])
+            chunks = pa.ListArray.from_arrays(pa.array(np.array(starts[a:b + 1]) - starts[a], pa.int32()), rows)
+            joined = pc.binary_join_element_wise("[", pc.binary_join(chunks, ","), "]", "")
+            yield pa.RecordBatch.from_arrays([joined], ["value"])
+
+
 def encode_messages(
     df: DataFrame, batch_size: int = 100, keep_nulls: bool = False, max_bytes: int = MESSAGE_BYTES
 ) -> DataFrame:
@@ -37,23 +62,8 @@ def encode_messages(
     messages of the same rows. Articles become JSON in the JVM; Arrow only joins the strings.
     """
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # bytes up to each row, with its comma; a message has one more for its brackets
-            lengths = pc.binary_length(batch.column(0)).to_numpy().astype(np.int64)
-            before = np.append(0, np.cumsum(lengths + 1))
-            starts = [0]
-            while starts[-1] < batch.num_rows:
-                at = starts[-1]
-                fits = int(np.searchsorted(before, before[at] + max_bytes - 1, "right")) - 1
-                starts.append(max(at + 1, min(at + batch_size, fits)))
-            if not batch.num_rows:
-                starts.append(0)
-            chunks = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), batch.column(0))
-            joined = pc.binary_join_element_wise("[", pc.binary_join(chunks, ","), "]", "")
-            yield pa.RecordBatch.from_arrays([joined], ["value"])
-
-    return _articles_json(df, keep_nulls).mapInArrow(cut, "value string")
+    return _articles_json(df, keep_nulls).mapInArrow(
+        lambda batches: cut_messages(batches, batch_size, max_bytes), "value string")
 
 
 def oversize(messages: DataFrame, max_bytes: int = MESSAGE_BYTES) -> DataFrame:

@@ -284,3 +284,27 @@ def test_nothing_is_parsed_twice(spark):
     ]:
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert sum(parser in line for line in plan.splitlines()) == 1, plan
+
+
+def test_messages_are_joined_a_few_at_a_time(spark, monkeypatch):
+    """The messages are the same, and a worker's batches are small however many rows it is given."""
+    df = spark.range(0, 3000, 1, 1).select(F.concat(F.lit("x" * 50), F.col("id").cast("string")).alias("text"))
+    whole = [r["value"] for r in messages.encode_messages(df, batch_size=7, max_bytes=400).collect()]
+    sizes = _batch_sizes(messages.encode_messages(df, batch_size=7, max_bytes=400))
+    assert len(sizes) == 1
+    monkeypatch.setattr(messages, "JOINED_BYTES", 2000)
+    few = messages.encode_messages(df, batch_size=7, max_bytes=400)
+    assert [r["value"] for r in few.collect()] == whole
+    sizes = _batch_sizes(messages.encode_messages(df, batch_size=7, max_bytes=400))
+    assert len(sizes) > 50 and max(sizes) < 3000
+    assert messages.encode_messages(df.limit(0)).count() == 0
+
+
+def _batch_sizes(encoded):
+    """Bytes of the batches that the encoder gives, run on its rows without Spark between."""
+    import pyarrow as pa
+
+    plan = encoded.toArrow()
+    rows = [json.dumps(a, separators=(",", ":")) for v in plan["value"].to_pylist() for a in json.loads(v)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows)], ["json"])
+    return [sum(len(v) for v in b.column(0).to_pylist()) for b in messages.cut_messages(iter([batch]), 7, 400)]
