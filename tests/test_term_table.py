@@ -69,3 +69,35 @@ def test_boosted_text_from_training_to_a_loaded_model(spark, docs, tmp_path):
     assert len(got) == 35 and again.booster == model.booster
     assert all(r["predicted"] == r["category"] for r in got.values() if r["text"] and "red" in r["text"] or "blue" in (r["text"] or ""))
     assert got[0].asDict().keys() == {"doc_id", "text", "category", "prediction", "predicted"}
+
+
+def test_rows_of_the_fit_are_those_of_the_model(spark, docs):
+    """One reading of the texts gives the model and its rows; ids that come again and null ids too."""
+    *earlier, terms = term_table_pipeline().getStages()
+    twice = docs.unionByName(docs.where("doc_id < 3")).unionByName(docs.where("doc_id < 2").withColumn("doc_id", F.lit(None).cast("long")))
+    for df in (docs, twice):
+        tokens = PipelineModel(earlier).transform(df)
+        model, rows = terms.fit_rows(tokens, "category")
+        known = terms.fit(tokens)
+        assert sorted(model.terms(spark).collect()) == sorted(known.terms(spark).collect())
+        expected = known.transform(tokens).select("doc_id", "category", "features.indices", "features.values")
+        got, want = (sorted([*r[:3], [round(v, 9) for v in r[3]]] for r in x.na.fill(-1).collect()) for x in (rows, expected))
+        assert got == want
+
+
+def test_a_repeated_id_has_the_entries_of_all_its_rows(spark):
+    rows = spark.createDataFrame([(1, ["a", "b"]), (1, ["a", "c"]), (2, ["a"]), (3, None), (4, [])], "id long, words array<string>")
+    terms = spark.createDataFrame([("a", 3, 0), ("b", 1, 1), ("c", 1, 2)], "term string, df long, index long")
+    got = vectors.tfidf_rows(rows, "id", "words", terms, 5).collect()
+    a, b = math.log(6 / 4) + 1, math.log(6 / 2) + 1
+    norm = math.sqrt(2 * a * a + 2 * b * b)
+    twice = [r for r in got if r["id"] == 1]
+    assert len(got) == 5 and len(twice) == 2
+    assert all(r["indices"] == [0, 0, 1, 2] for r in twice)
+    assert all(r["values"] == pytest.approx([a / norm, a / norm, b / norm, b / norm]) for r in twice)
+    assert {r["id"]: r["indices"] for r in got if r["id"] > 1} == {2: [0], 3: [], 4: []}
+
+
+def test_looking_up_shuffles_terms_of_blocks_and_no_postings(spark, docs):
+    plan = term_table_pipeline().fit(docs).transform(docs).select("features")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
