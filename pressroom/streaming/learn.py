@@ -7,29 +7,33 @@ nothing. The whole vocabulary counts; nothing of it passes through the driver bu
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pressroom.functions.tokens import FEED_STOP_WORDS, gap_tokenizer, stop_word_remover, term_counts
-from pressroom.operators.vectors import with_terms
+from pressroom.functions.tokens import FEED_STOP_WORDS, gap_tokenizer, stop_word_remover
+from pressroom.operators.blocks import column_of, encoded, list_of, with_block_terms
 from pressroom.session import write_and_read
 
 #: A term's occurrences in a category, or, where the term is null, the category's rows.
 COUNTS = "category string, term string, n long"
 
 
-def _postings(df: DataFrame, *keep: str) -> DataFrame:
-    """``(…keep, term, n)`` of the terms of ``text``."""
+def _tokens(df: DataFrame, *keep: str) -> DataFrame:
+    """``(…keep, filtered)``: the terms of ``text``."""
     filled = df.select(*keep, F.coalesce("text", F.lit("")).alias("text"))
-    kept = stop_word_remover(FEED_STOP_WORDS).transform(gap_tokenizer().transform(filled))
-    return kept.select(*keep, F.inline(term_counts(F.col("filtered"))))
+    return stop_word_remover(FEED_STOP_WORDS).transform(gap_tokenizer().transform(filled)).select(*keep, "filtered")
 
 
 def batch_counts(df: DataFrame) -> DataFrame:
     """The counts of ``(text, category)`` rows; those without a category tell nothing."""
     known = df.where("category IS NOT NULL")
-    terms = _postings(known, "category").groupBy("category", "term").agg(F.sum("n").alias("n"))
+    # the outer form, since an inner one infers a filter that would run the tokenizer a second time
+    words = _tokens(known, "category").select("category", F.explode_outer("filtered").alias("term"))
+    terms = words.where("term IS NOT NULL").groupBy("category", "term").agg(F.count(F.lit(1)).alias("n"))
     rows = known.groupBy("category").agg(F.count("*").alias("n"))
     return terms.unionByName(rows.withColumn("term", F.lit(None).cast("string")))
 
@@ -82,11 +86,24 @@ def classify(df: DataFrame, id_col: str, counts: DataFrame, smoothing: float = 1
         "term", "total", F.array(*(
             F.coalesce(F.try_element_at("c", F.lit(r["category"])), F.lit(0)) for r in classes)).alias("c")), "term-classes")
     vocabulary = by_term.count()
-    entries = with_terms(_postings(df, id_col), id_col, by_term, "total", "c")
-    rates = [F.sum(F.col("n") * (F.log(F.get("c", F.lit(k)) + smoothing)
-                                 - F.log(F.lit((r["tokens"] or 0) + smoothing * vocabulary)))).alias(f"_s{k}")
-             for k, r in enumerate(classes)]
-    sums = entries.groupBy(F.col(id_col).alias("_id")).agg(*rates)
+    rows, found = encoded(_tokens(df, id_col), "filtered", id_col)
+    totals = [(r["tokens"] or 0) + smoothing * vocabulary for r in classes]
+
+    def add_up(part: pa.Table, row: np.ndarray, n: np.ndarray, at: np.ndarray, known: pa.Table) -> pa.Table:
+        counts = list_of(column_of(known, "c"))[0].reshape(-1, len(totals))
+        with np.errstate(divide="ignore"):
+            rates = np.log(counts + smoothing) - np.log(np.array(totals))
+        rates[~np.isfinite(rates)] = 0.0  # without smoothing, what a class lacks tells nothing
+        sums = [np.bincount(row, n * rates[at, k], part.num_rows) for k in range(len(totals))]
+        return pa.table([part.column(id_col), *(pa.array(x, pa.float64()) for x in sums)],
+                        names=["_id", *(f"_s{k}" for k in range(len(totals)))])
+
+    sums = with_block_terms(
+        rows, found, by_term, ["c"], add_up, T.StructType([
+            T.StructField("_id", rows.schema[id_col].dataType),
+            *(T.StructField(f"_s{k}", T.DoubleType()) for k in range(len(totals)))]))
+    # the rows of an id that comes again are scored together
+    sums = sums.groupBy("_id").agg(*(F.sum(f"_s{k}").alias(f"_s{k}") for k in range(len(totals))))
     scores = F.array(*(
         F.coalesce(F.col(f"_s{k}"), F.lit(0.0)) + F.log(F.lit(r["rows"] + smoothing)) for k, r in enumerate(classes)))
     names = F.array(*(F.lit(r["category"]) for r in classes))

@@ -74,3 +74,10 @@ def test_nothing_learned(spark, tmp_path):
     assert set(predicted(classify(rows, "doc_id", counts_so_far(spark, f"{tmp_path}/m"))).values()) == {None}
     with pytest.raises(Exception):
         counts_so_far(spark, f"{tmp_path}/absent").collect()
+
+
+def test_scoring_shuffles_terms_of_blocks_and_no_postings(spark):
+    rows = spark.createDataFrame(ROWS * 20, SCHEMA).repartition(2)
+    learned = spark.createDataFrame([(c, t, 1) for c in "xy" for t in (None, "goal", "vote")], "category string, term string, n long")
+    plan = classify(rows, "doc_id", learned)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
