@@ -72,7 +72,7 @@ class Memo:
             self.seen = bytearray(1 << 22)
         known, seen, old = self.known, self.seen, self.old
         every = set().union(*(words for text in texts for words in text))
-        new = sorted(filterfalse(known.__contains__, every))
+        new = list(filterfalse(known.__contains__, every))  # in any order: each is encoded alone
         if old:
             known.update((word, old[word]) for word in new if word in old)
             new = [word for word in new if word not in old]
