@@ -3,8 +3,8 @@
 Counts live in shards, dealt by word. A first pass over the trusted texts sums what belongs to no word:
 the discounts, and how many words followed each context once, twice or more often. Each shard gives its
 part of those to owners of ranges of contexts, who answer with the sums of what it asked for. A second pass
-sends the tokens of every document to the shards, where they meet the trusted counts of their pairs and
-words, and adds up each document's log-probability. Limits are quantiles of the perplexity of trusted texts
+sends the tokens of every document to the shards, the trusted ones first, from which a shard counts its pairs
+and words again before it scores them all; each document's log-probabilities are added up. Limits are quantiles of the perplexity of trusted texts
 that the model hasn't learned from, one for each language.
 
 A token's probability is its word's lower one times its context's weight, and more where the trusted texts
@@ -15,7 +15,7 @@ with the word itself, and needs of other contexts only those that its trusted pa
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +23,11 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressroom.llm import shards
 from pressroom.llm.pitman_yor import owners_of
 from pressroom.llm.shards import (
-    COLUMNS, END, NOMINATING, SCHEMA, Layout, by_key, contexts_of, gaps, hash_of, layout_for, packed, record, summed,
-    token_blocks, unpacked,
+    COLUMNS, END, NOMINATING, SCHEMA, Layout, by_key, contexts_of, gaps, hash_of, packed, record, summed, token_blocks,
+    unpacked,
 )
 from pressroom.session import write_and_read
 
@@ -34,8 +35,14 @@ from pressroom.session import write_and_read
 COMMON_CONTEXTS = 1 << 18
 #: Trusted ids up to which they are broadcast to the documents; beyond, texts are shuffled to them.
 SENT_IDS = 1 << 23
-#: Chunks of the rows that a shard gets first.
-_ANSWER, _TRUSTED = -2, -1
+#: Characters of text for each shard, and so many shards at least where these have characters enough. Blocks of many
+#: shards are small and compress less.
+SHARD_CHARACTERS, SHARDS, SHARD_LEAST = 64_000_000, 24, 4_000_000
+#: Shards that one task scores at most, if there are more than ``SHARDS`` of these. A task sends each document that it
+#: has words of one sum, so few tasks shuffle little.
+TASK_SHARDS = 16
+#: Sums of documents that a scoring task holds, of 8 bytes each.
+HELD_SUMS = 1 << 24
 #: One trusted row in so many sets the limits and is not learned from.
 CALIBRATION = 5
 #: The limit is this quantile of the perplexity of trusted texts that were not learned from.
@@ -51,15 +58,23 @@ class Contexts:
 
     hashes: np.ndarray
     numbers: np.ndarray
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # whose contexts they are, if these have numbers too
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         return np.where(found(self.hashes, hashes), self.numbers[place(self.hashes, hashes)], np.uint32(0)) \
             if len(self.hashes) else np.zeros(len(hashes), np.uint32)
 
+    def of_words(self, words: np.ndarray) -> np.ndarray:
+        return np.where(found(self.words, words), self.numbers[place(self.words, words)], np.uint32(0)) \
+            if len(self.words) else np.zeros(len(words), np.uint32)
+
     def by_number(self) -> np.ndarray:
         """Hashes of the numbers from 1."""
         return self.hashes[np.argsort(self.numbers)]
 
+    def words_by_number(self) -> np.ndarray:
+        return self.words[np.argsort(self.numbers)] if len(self.words) else self.words
+
 
 def place(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Where each asked value would stand among the sorted known ones, which are some."""
@@ -70,6 +85,18 @@ def found(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
     return known[place(known, asked)] == asked
 
 
+def shards_for(characters: int) -> int:
+    return max(-(-characters // SHARD_CHARACTERS), min(SHARDS, -(-characters // SHARD_LEAST)))
+
+
+def layout_for(docs: DataFrame) -> Layout:
+    return shards.layout_for(docs, shards_for=shards_for)
+
+
+def scoring_tasks(layout: Layout) -> int:
+    return max(SHARDS, -(-layout.shards // TASK_SHARDS))
+
+
 def common_contexts(docs: DataFrame, text: str = "text") -> Contexts:
     """Words that are frequent in some documents: how contexts are written down, which changes no result."""
     some = docs.where(F.pmod(F.xxhash64(text), F.lit(NOMINATING)) == 0)
@@ -77,28 +104,48 @@ def common_contexts(docs: DataFrame, text: str = "text") -> Contexts:
     most = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON_CONTEXTS - 1)
     hashes = [END, *(hash_of(w.encode()) for w in most.select("word").toArrow()["word"].to_pylist())]
     known, first = np.unique(contexts_of(np.array(hashes, np.uint64)), return_index=True)
-    return Contexts(known, (np.argsort(np.argsort(first)) + 1).astype(np.uint32))
+    return Contexts(known, (np.argsort(np.argsort(first)) + 1).astype(np.uint32), np.array(hashes, np.uint64)[first])
+
+
+def named(hashes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of distinct hashes, and their gaps in it: of the hashes without a number (0), then of the numbers."""
+    order = np.lexsort((hashes, numbers))
+    rest = np.count_nonzero(numbers == 0)
+    return order, gaps(hashes[order[:rest]]), gaps(numbers[order[rest:]])
+
+
+def of_names(rest: np.ndarray, numbers: np.ndarray, by_number: np.ndarray) -> np.ndarray:
+    """The hashes in the order of ``named``."""
+    hashes = np.cumsum(rest, dtype=np.uint64)
+    return np.concatenate([hashes, by_number[np.cumsum(numbers, dtype=np.int64) - 1]]) if len(numbers) else hashes
 
 
 def packed_pairs(words: np.ndarray, counts: np.ndarray, contexts: np.ndarray, docs: np.ndarray, common: Contexts) -> bytes:
-    """A block: sorted distinct words, their tokens' number, and each token's context and document.
+    """A block: distinct words, their tokens' number, and each token's context and document.
 
-    A word's tokens are in the order of their contexts' numbers, so that those are given by their gaps.
+    Words are by their hashes, then those with numbers by them. A word's tokens are in the order of their
+    contexts' numbers, so that those are given by their gaps.
     """
     number = common.of(contexts)
-    order = np.argsort(np.repeat(np.arange(len(words), dtype=np.uint64), counts) << np.uint64(32) | number, kind="stable")
-    number = number[order]
+    by_name, *names = named(words, common.of_words(words))
+    rank = np.empty(len(words), np.uint64)
+    rank[by_name] = np.arange(len(words), dtype=np.uint64)
+    order = np.argsort(np.repeat(rank, counts) << np.uint64(32) | number, kind="stable")
+    number, counts = number[order], counts[by_name]
     gap, first = np.diff(number, prepend=np.uint32(0)), np.cumsum(counts, dtype=np.int64) - counts
     gap[first] = number[first]
-    return packed(gaps(words), counts, gap, contexts[order][number == 0], docs[order])
+    return packed(*names, counts, gap, contexts[order][number == 0], docs[order])
 
 
-def unpacked_pairs(data: bytes) -> tuple[np.ndarray, ...]:
-    """Words, counts, numbers of contexts, the hashes of those without (0), and documents of a block."""
-    words, counts, gap, others, docs = unpacked(data, "u8", "u4", "u4", "u8", "u2")
+def unpacked_pairs(data: bytes, words: np.ndarray = np.zeros(0, np.uint64)) -> tuple[np.ndarray, ...]:
+    """Words, counts, numbers of contexts, the hashes of those without (0), and documents of a block.
+
+    ``words`` are the common ones by number.
+    """
+    rest, numbers, counts, gap, others, docs = unpacked(data, "u8", "u4", "u4", "u4", "u8", "u2")
     upto, first = np.cumsum(gap, dtype=np.int64), np.cumsum(counts, dtype=np.int64) - counts
     number = upto - np.repeat(upto[first] - gap[first], counts)
-    return np.cumsum(words, dtype=np.uint64), counts, number, others, docs
+    return of_names(rest, numbers, words), counts, number, others, docs
 
 
 class Places:
@@ -144,7 +191,7 @@ class Totals:
 class Shard:
     """Trusted counts of a shard: its words, and pairs of word and context (one of ``width``) with their counts.
 
-    A block has sorted distinct words, their tokens' number and each token's context.
+    A block has distinct words, their tokens' number and each token's context.
     """
 
     def __init__(self, blocks: list[tuple[np.ndarray, ...]], width: int, layout: Layout):
@@ -206,6 +253,13 @@ class Shard:
         return out
 
 
+def _contexts_in(read: list[tuple[np.ndarray, ...]], of_hot: np.ndarray, by_number: np.ndarray) -> np.ndarray:
+    """What a shard asks for: the contexts of its trusted pairs, its own words as contexts, and those of hot words."""
+    return np.unique(np.concatenate([
+        of_hot, *(x for w, _, n, others, _ in read for x in (
+            contexts_of(w), others, by_number[np.unique(n[n > 0]) - 1]))]))
+
+
 _ASKED = "owner int, shard int, block binary, slot long, n long"
 
 
@@ -215,31 +269,31 @@ def _asked(blocks: DataFrame, layout: Layout, common: Broadcast) -> DataFrame:
     of_hot = contexts_of(layout.hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_number = common.value.by_number()
+        by_number, common_words = common.value.by_number(), common.value.words_by_number()
         for rows, _ in by_key(batches, "shard"):
-            read = [unpacked_pairs(r["block"]) for r in rows]
-            # the contexts of its pairs, and its own words as contexts
-            known = np.unique(np.concatenate([
-                of_hot, *(x for w, _, n, others, _ in read for x in (
-                    contexts_of(w), others, by_number[np.unique(n[n > 0]) - 1]))]))
+            read = [unpacked_pairs(r["block"], common_words) for r in rows]
+            known = _contexts_in(read, of_hot, by_number)
+            numbers = common.value.of(known)
             places = Places(known, common.value)
             shard = Shard([(w, c, places.of_block(n, others)) for w, c, n, others, _ in read], len(known) + 1, layout)
             sums = shard.of_contexts()[:, 1:]
             owner = owners_of(known, layout.shards)
             cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(known)]
-            made = [(int(owner[a]), packed(gaps(known[a:b]), *(x[a:b].astype(np.uint32) for x in sums)))
-                    for a, b in zip(cuts, cuts[1:])]
+            made = []
+            for a, b in zip(cuts, cuts[1:]):
+                order, *names = named(known[a:b], numbers[a:b])
+                made.append((int(owner[a]), packed(*names, *(x[a:b][order].astype(np.uint32) for x in sums))))
             rest = np.concatenate([sums[:, places.of(of_hot) - 1].reshape(-1), shard.rest(hot)])
             n, number = len(made), rows[0]["shard"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o for o, _ in made], pa.int32()), pa.array([number] * n, pa.int32()),
-                 pa.array([x for _, x in made], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
+                 pa.array([x for _, x in made], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=columns)
             n = len(rest)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(n, pa.int32()), pa.array([number] * n, pa.int32()), pa.nulls(n, pa.binary()),
-                 pa.array(np.arange(n)), pa.array(rest)], names=names)
+                 pa.array(np.arange(n)), pa.array(rest)], names=columns)
 
-    names = ["owner", "shard", "block", "slot", "n"]
+    columns = ["owner", "shard", "block", "slot", "n"]
     return blocks.select("shard", "block").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, _ASKED)
 
 
@@ -258,23 +312,28 @@ def _totals(asked: DataFrame, layout: Layout) -> Totals:
         types, int(dense[-1]), int(types.sum()), follows)
 
 
-def _answers(asked: DataFrame) -> DataFrame:
-    """``shard, block``: of each context that a shard asked for, its sums over all shards."""
+def _answers(asked: DataFrame, layout: Layout, common: Broadcast) -> DataFrame:
+    """``shard, chunk, block``: of each context that a shard asked for, its sums over all shards.
+
+    A shard's are in the order of the contexts' hashes by ``chunk``, which is negative, and in each block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_number = common.value.by_number()
         for rows, _ in by_key(batches, "owner"):
-            read = [unpacked(r["block"], "u8", *["u4"] * 4) for r in rows]
-            hashes = [np.cumsum(x[0], dtype=np.uint64) for x in read]
+            read = [unpacked(r["block"], "u8", *["u4"] * 5) for r in rows]
+            hashes = [of_names(*x[:2], by_number) for x in read]
             known, at = np.unique(np.concatenate(hashes), return_inverse=True)
-            sums = [np.bincount(at, np.concatenate([x[k] for x in read]), len(known)).astype(np.int64) for k in range(1, 5)]
+            sums = [np.bincount(at, np.concatenate([x[k] for x in read]), len(known)).astype(np.int64) for k in range(2, 6)]
             ends = np.cumsum([len(x) for x in hashes]).tolist()
-            for row, own, a, b in zip(rows, hashes, [0, *ends], ends):
+            for row, a, b in zip(rows, [0, *ends], ends):
+                own = np.sort(at[a:b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["shard"]], pa.int32()),
-                     pa.array([packed(gaps(own), *(x[at[a:b]] for x in sums))], pa.binary())], names=["shard", "block"])
+                    [pa.array([row["shard"]], pa.int32()), pa.array([row["owner"] - layout.shards], pa.int64()),
+                     pa.array([packed(*(x[own] for x in sums))], pa.binary())], names=["shard", "chunk", "block"])
 
     return (asked.where("owner IS NOT NULL").select("owner", "shard", "block").repartition("owner")
-            .sortWithinPartitions("owner").mapInArrow(run, "shard int, block binary"))
+            .sortWithinPartitions("owner").mapInArrow(run, "shard int, chunk long, block binary"))
 
 
 def perplexities(
@@ -303,52 +362,85 @@ def perplexities(
 
     def model_of(answers: list[bytes], blocks: list[bytes]) -> tuple[Shard, Places, Totals]:
         totals = shared.value
-        read = [unpacked(a, "u8", *["i8"] * 4) for a in answers]
-        known, first = np.unique(
-            np.concatenate([of_hot, *(np.cumsum(r[0], dtype=np.uint64) for r in read)]), return_index=True)
-        sums = np.concatenate([totals.contexts, *(np.stack(r[1:]) for r in read)], axis=1)[:, first]
+        read = [unpacked_pairs(b, common.value.words_by_number()) for b in blocks]
+        if answers:
+            known = _contexts_in(read, of_hot, common.value.by_number())
+            sums = np.concatenate([np.stack(unpacked(a, *["i8"] * 4)) for a in answers], axis=1)
+            if sums.shape[1] != len(known):
+                raise ValueError("the trusted texts have changed since their first pass")
+        else:
+            known, first = np.unique(of_hot, return_index=True)
+            sums = totals.contexts[:, first]
         places = Places(known, common.value)
-        counted = [(w, c, places.of_block(n, others)) for w, c, n, others, _ in map(unpacked_pairs, blocks)]
+        counted = [(w, c, places.of_block(n, others)) for w, c, n, others, _ in read]
         own = replace(totals, contexts=np.concatenate([np.zeros((4, 1), np.int64), sums], axis=1))
         return Shard(counted, len(known) + 1, layout), places, own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A shard's answers come first, then its trusted rows."""
-        number, answers, trusted, model = None, [], [], None
+        """A shard's answers come first, then its trusted blocks, which are scored when its model is made of them."""
+        common_words = common.value.words_by_number()
+        number, answers, trusted, model, schema = None, [], [], None, None
+        sums: dict[int, np.ndarray] = {}  # by chunk, of its documents
+
+        def add(row: dict) -> None:
+            shard, places, totals = model
+            words, counts, numbers, others, docs = unpacked_pairs(row["block"], common_words)
+            score = np.bincount(docs, shard.log_probability(
+                np.repeat(words, counts), places.of_block(numbers, others), totals,
+                np.repeat(places.of(contexts_of(words)), counts)))
+            held = sums.get(row["chunk"], score[:0])
+            if len(held) < len(score):
+                held = np.pad(held, (0, len(score) - len(held)))
+            held[:len(score)] += score
+            sums[row["chunk"]] = held
+
+        def settle() -> None:
+            nonlocal model, answers, trusted
+            if model is None and (answers or trusted):
+                model = model_of(answers, [r["block"] for r in trusted])
+                for row in trusted:
+                    add(row)
+            answers, trusted = [], []
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for chunk, held in sums.items():
+                some = np.flatnonzero(held)
+                row = dict.fromkeys(COLUMNS) | {"chunk": chunk, "block": packed(some.astype(np.uint16), held[some])}
+                yield record([row], COLUMNS, schema)
+            sums.clear()
+
         for batch in batches:
-            out = []
+            out, schema = [], batch.schema
             for row in batch.to_pylist():
                 if row["shard"] != number:
-                    number, answers, trusted, model = row["shard"], [], [], None
+                    settle()
+                    number, model = row["shard"], None
                 if row["block"] is None:
                     out.append(row)
                 elif row["chunk"] < 0:
-                    (trusted if row["chunk"] == _TRUSTED else answers).append(row["block"])
+                    answers.append(row["block"])
+                elif row["train"]:
+                    trusted.append(row)
                 else:
-                    if model is None:
-                        model, answers, trusted = model_of(answers, trusted), [], []
-                    shard, places, totals = model
-                    words, counts, numbers, others, docs = unpacked_pairs(row["block"])
-                    score = shard.log_probability(
-                        np.repeat(words, counts), places.of_block(numbers, others), totals,
-                        np.repeat(places.of(contexts_of(words)), counts))
-                    some = np.flatnonzero(np.bincount(docs))
-                    row["block"] = packed(some.astype(np.uint16), np.bincount(docs, score)[some])
-                    out.append(row)
+                    settle()
+                    model = model or model_of([], [])
+                    add(row)
             if out:
-                yield record(out, COLUMNS, batch.schema)
+                yield record(out, COLUMNS, schema)
+            if sum(map(len, sums.values())) > HELD_SUMS:
+                yield from sent()
+        settle()
+        yield from sent()
 
     def for_scores(words, counts, contexts, docs) -> bytes:
         return packed_pairs(words, counts, contexts, docs, common.value)
 
-    def to_shards(blocks: DataFrame, kind: int) -> DataFrame:
-        return blocks.select("shard", F.lit(kind).cast("long").alias("chunk"), "block")
-
     blocks = token_blocks(source, layout, pack=for_scores)
-    dealt = (blocks.unionByName(to_shards(trusted, _TRUSTED), allowMissingColumns=True)
-             .unionByName(to_shards(_answers(asked), _ANSWER), allowMissingColumns=True).select(*COLUMNS))
+    dealt = blocks.unionByName(_answers(asked, layout, common), allowMissingColumns=True).select(*COLUMNS)
+    first = F.when(F.col("chunk") < 0, 0).when(F.col("train"), 1).otherwise(2)
     kind = docs.schema[id_column].dataType.simpleString()
-    parts = dealt.repartition("shard").sortWithinPartitions("shard", "chunk").mapInArrow(run, SCHEMA.format(id=kind))
+    parts = (dealt.repartition(F.col("shard") % scoring_tasks(layout)).sortWithinPartitions("shard", first, "chunk")
+             .mapInArrow(run, SCHEMA.format(id=kind)))
     return summed(parts, ("score",)).select(
         F.col("id").alias(id_column), "train", "n_tokens",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

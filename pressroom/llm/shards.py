@@ -75,10 +75,12 @@ class Layout:
         return ((key >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)).astype(np.int32)
 
 
-def layout_for(docs: DataFrame, text: str = "text") -> Layout:
-    """Shards for the size of the corpus, and hot words as some documents suggest them."""
+def layout_for(
+    docs: DataFrame, text: str = "text", shards_for: Callable[[int], int] = lambda total: -(-total // SHARD_CHARACTERS),
+) -> Layout:
+    """Shards for the size of the corpus, given its characters, and hot words as some documents suggest them."""
     total = docs.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0]
-    shards = max(1, -(-total // SHARD_CHARACTERS))
+    shards = max(1, shards_for(total))
     some = docs.where(F.pmod(F.xxhash64(text), F.lit(NOMINATING)) == 0)
     words = some.select(F.explode(F.split(F.lower(text), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
     counts = words.groupBy("word").agg(F.count("*").alias("n"))

@@ -323,3 +323,60 @@ def test_blocks_name_rare_contexts_by_their_hashes():
     known = pool[5:30]
     at = kneser_ney.Places(known, common).of_block(number, others)
     assert (np.append(np.uint64(0), known)[at] == np.where(np.isin(back, known), back, 0)).all()
+
+
+def test_blocks_name_common_words_by_their_numbers():
+    rng = np.random.default_rng(6)
+    words = np.unique(rng.integers(0, 1 << 64, 3000, np.uint64))
+    counts = rng.integers(1, 3, len(words)).astype(np.uint32)
+    contexts = shards.contexts_of(rng.choice(words, counts.sum()))
+    docs = rng.integers(0, 99, counts.sum()).astype(np.uint16)
+    some = words[rng.random(len(words)) < 0.9]
+    numbers = rng.permutation(len(some)).astype(np.uint32) + 1
+    without = kneser_ney.Contexts(shards.contexts_of(some), numbers)
+    common = kneser_ney.Contexts(shards.contexts_of(some), numbers, some)
+    block = kneser_ney.packed_pairs(words, counts, contexts, docs, common)
+    assert len(block) < 0.7 * len(kneser_ney.packed_pairs(words, counts, contexts, docs, without))
+    w, c, number, others, d = kneser_ney.unpacked_pairs(block, common.words_by_number())
+    back = np.append(np.uint64(0), common.by_number())[number]
+    back[number == 0] = others
+    assert sorted(zip(w, c)) == sorted(zip(words, counts))
+    assert sorted(zip(np.repeat(w, c), back, d)) == sorted(zip(np.repeat(words, counts), contexts, docs))
+
+
+def test_trusted_tokens_are_sent_once_to_be_scored_and_a_task_sends_a_chunk_one_block(corpus, monkeypatch):
+    many_shards(monkeypatch, kneser_ney)
+    monkeypatch.setattr(kneser_ney, "SHARDS", 2)
+    monkeypatch.setattr(kneser_ney, "TASK_SHARDS", 5)
+    sent, packs = [], []
+
+    def watched(parts, columns):
+        sent.extend(r["n"] for r in parts.where("block IS NOT NULL").groupBy("chunk").agg(F.count("*").alias("n")).collect())
+        return shards.summed(parts, columns)
+
+    def counted(docs, layout, pack):
+        packs.append(docs.where("train").count())
+        return shards.token_blocks(docs, layout, pack=pack)
+
+    monkeypatch.setattr(kneser_ney, "summed", watched)
+    monkeypatch.setattr(kneser_ney, "token_blocks", counted)
+    marked = corpus.withColumn("t", F.col("doc_id") % 3 == 0)
+    scored = perplexities(marked, "t")
+    assert len(sent) > 1 and max(sent) <= 2  # five shards answer a chunk in two tasks
+    # texts are cut into blocks once more, beside answers, scores and sums; trusted ones aren't sent besides
+    assert len(packs) == 2 and scored._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 4
+    assert scored.count() == corpus.count()
+
+
+def test_a_task_that_holds_many_sums_sends_them_before_its_end(corpus, monkeypatch):
+    marked = corpus.withColumn("t", F.col("doc_id") % 3 == 0)
+    one = {r["doc_id"]: r["perplexity"] for r in perplexities(marked, "t").collect()}
+    many_shards(monkeypatch, kneser_ney)
+    monkeypatch.setattr(kneser_ney, "HELD_SUMS", 0)
+    other = {r["doc_id"]: r["perplexity"] for r in perplexities(marked, "t").collect()}
+    assert one.keys() == other.keys() and all(one[k] == pytest.approx(other[k], rel=1e-9) for k in one)
+
+
+def test_shards_grow_less_than_texts():
+    assert [kneser_ney.shards_for(n) for n in (0, 1, 20_000_000, 840_000_000, 50_000_000_000)] == [0, 1, 5, 24, 782]
+    assert [kneser_ney.scoring_tasks(Layout(n)) for n in (1, 24, 782)] == [24, 24, 49]
