@@ -37,10 +37,10 @@ COMMON_CONTEXTS = 1 << 18
 SENT_IDS = 1 << 23
 #: Characters of text for each shard, and so many shards at least where these have characters enough. Blocks of many
 #: shards are small and compress less.
-SHARD_CHARACTERS, SHARDS, SHARD_LEAST = 64_000_000, 24, 4_000_000
+SHARD_CHARACTERS, SHARDS, SHARD_LEAST = 128_000_000, 24, 4_000_000
 #: Shards that one task scores at most, if there are more than ``SHARDS`` of these. A task sends each document that it
 #: has words of one sum, so few tasks shuffle little.
-TASK_SHARDS = 16
+TASK_SHARDS = 8
 #: Sums of documents that a scoring task holds, of 8 bytes each.
 HELD_SUMS = 1 << 24
 #: One trusted row in so many sets the limits and is not learned from.
